@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import decontaminate, simhash
+from quirework.llm import decontaminate, mixing, simhash, tokenbin
+from quirework.llm.common import scratch_root, table
 
 ORACLE: dict[str, str] = {}
 
@@ -51,6 +53,20 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = mixing.sized(read(spark, sf_dir, "documents"))
+    aims = table(mixing.targets(sizes, mixing.cycled(sizes, (5, 2, 1)), share=1.5, cap=2.0), "mix-aims")
+    return mixing.taken(sizes, aims, mixing.draw(sizes, aims)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = f"{scratch_root(spark)}/quirework-tokens-{uuid.uuid4().hex}"
+    tokenbin.write(read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenbin.documents(spark, path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[:2] == "op" and k[2:3].isdigit()}
 
