@@ -52,45 +52,42 @@ def cycled(sizes: DataFrame, cycle: tuple[float, ...] = (5, 2, 1)) -> DataFrame:
     return sizes.select("source").distinct().select("source", F.element_at(F.array(*[F.lit(float(w)) for w in cycle]), (F.pmod(place, F.lit(len(cycle))) + 1).cast("int")).alias("weight"))
 
 
-def _log_factorial(x: Column) -> Column:
+def _let(name: str, value: str, body: str) -> str:
+    """SQL of body, in which name stands for a value that is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _log_factorial(x: str) -> str:
     """ln x! by Stirling's series, shifted by 8; good to 1e-10."""
-    low = x.cast("double") + 1.0
-    z = low + 8.0
-    shift = reduce(lambda a, k: a * (low + float(k)), range(1, 8), low)
-    return (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + F.lit(1.0) / (z * 12.0) - F.lit(1.0) / (z * z * z * 360.0) - F.log(shift)
+    shift = " * ".join(f"({x} + {k}D)" for k in range(1, 9))
+    z = f"({x} + 9D)"
+    return f"(({z} - 0.5D) * ln({z}) - {z} + {0.5 * math.log(2 * math.pi)}D + 1D / (12D * {z}) - 1D / (360D * {z} * {z} * {z}) - ln({shift}))"
 
 
-def hypergeometric(total: Column, own: Column, drawn: Column, u: Column) -> Column:
-    """How many of `own` marked ones are among `drawn` of `total`, by inversion of u in [0, 1).
+def hypergeometric(total: str, own: str, drawn: str, u: str) -> str:
+    """SQL of how many of `own` marked ones are among `drawn` of `total`, by inversion of u in [0, 1).
 
     Values further than 8 standard deviations and 8 from the mean, of a chance below 1e-14, are left out.
     """
-    n, k, d = total.cast("double"), own.cast("double"), drawn.cast("double")
-    mean = d * k / F.greatest(n, F.lit(1.0))
-    wide = F.sqrt(F.greatest(mean * (F.lit(1.0) - k / F.greatest(n, F.lit(1.0))) * (n - d) / F.greatest(n - 1.0, F.lit(1.0)), F.lit(0.0))) * 8.0 + 8.0
-    low = F.greatest(F.lit(0).cast("long"), drawn - (total - own), F.floor(mean - wide).cast("long"))
-    high = F.greatest(low, F.least(drawn, own, F.ceil(mean + wide).cast("long")))
-    weight = lambda x: -_log_factorial(x) - _log_factorial(own - x) - _log_factorial(drawn - x) - _log_factorial(total - own - drawn + x)
-    mid = F.least(high, F.greatest(low, F.round(mean).cast("long")))
-    terms = F.transform(F.sequence(low, high), lambda x: F.exp(weight(x) - weight(mid)))
-    aim = u * F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
-    passed = F.aggregate(terms, F.struct(F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("n")), lambda a, x: F.struct((a["sum"] + x).alias("sum"), (a["n"] + F.when(a["sum"] + x <= aim, 1).otherwise(0)).cast("long").alias("n")))
-    return F.least(high, low + passed["n"])
-
-
-def _shares(parts: Column, total: Column, drawn: Column, node: Column, seed: int) -> Column:
+    n, k, d = f"bigint({total})", f"bigint({own})", f"bigint({drawn})"
+    weight = lambda x: "(-" + " - ".join(map(_log_factorial, (x, f"({k} - {x})", f"({d} - {x})", f"({n} - {k} - {d} + {x})"))) + ")"
+    mean = f"(double({d}) * {k} / greatest({n}, 1L))"
+    spread = f"(sqrt(greatest({mean} * ({n} - {d}) / greatest({n} - 1L, 1L) * ({n} - {k}) / greatest({n}, 1L), 0D)) * 8D + 8D)"
+    low = f"greatest(0L, {d} - ({n} - {k}), bigint(floor({mean} - {spread})))"
+    high = f"greatest(least({d}, {k}, bigint(ceil({mean} + {spread}))), {low})"
+    passed = "aggregate(t, named_struct('sum', 0D, 'n', 0L), (a, x) -> named_struct('sum', a.sum + x, 'n', a.n + if(a.sum + x <= aim, 1L, 0L))).n"
+    out = f"least(h.high, h.low + {_let('aim', f'{u} * aggregate(t, 0D, (a, x) -> a + x)', passed)})"
+    out = _let("t", f"transform(sequence(h.low, h.high), x -> exp({weight('x')} - {weight('h.mid')}))", out)
+    return _let("h", f"named_struct('low', {low}, 'high', {high}, 'mid', least({high}, greatest({low}, bigint(round({mean})))))", out)
+
+
+def _shares(parts: str, total: str, drawn: str, seed: int) -> Column:
     """Draws `drawn` of `total` from parts (id, q) one part after another; the array gets each part's share as x."""
-    start = F.struct(total.alias("total"), drawn.alias("drawn"), F.array().cast("array<struct<id:int,q:bigint,x:bigint>>").alias("out"))
-
-    # A draw is used several times in a step; a transform of one element computes it once.
-    def once(state: Column, part: Column) -> Column:
-        u = F.pmod(F.xxhash64(F.lit(seed), node, part["id"]), F.lit(1 << 53)) / F.lit(float(1 << 53))
-        return F.transform(
-            F.array(hypergeometric(state["total"], part["q"], state["drawn"], u)),
-            lambda x: F.struct((state["total"] - part["q"]).alias("total"), (state["drawn"] - x).alias("drawn"), F.concat(state["out"], F.array(F.struct(part["id"].alias("id"), part["q"].alias("q"), x.alias("x")))).alias("out")),
-        )[0]
-
-    return F.aggregate(parts, start, once)["out"]
+    u = f"(pmod(xxhash64({seed}, node, p.id), {1 << 53}L) / {1 << 53}D)"
+    row = "named_struct('id', p.id, 'q', p.q, 'x', y)"
+    step = _let("y", hypergeometric("st.total", "p.q", "st.drawn", u), f"named_struct('total', st.total - p.q, 'drawn', st.drawn - y, 'out', concat(st.out, array({row})))")
+    start = f"named_struct('total', bigint({total}), 'drawn', bigint({drawn}), 'out', cast(array() as array<struct<id:int,q:bigint,x:bigint>>))"
+    return F.expr(f"aggregate({parts}, {start}, (st, p) -> {step}).out")
 
 
 def tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
@@ -104,8 +101,8 @@ def tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     for level in range(shards.bit_length() - 1):
         sums = rows.select("node", F.struct(F.col("grp").alias("id"), F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + p["q"]).alias("q")).alias("g")).groupBy("node").agg(F.array_sort(F.collect_list("g")).alias("groups"))
         total = F.aggregate("groups", F.lit(0).cast("long"), lambda a, g: a + g["q"])
-        shared = sums.withColumn("total", total).select("node", F.explode(_shares(F.col("groups"), F.col("total"), F.ceil(F.col("total") / 2).cast("long"), F.col("node"), seed + 1)).alias("g")).select("node", F.col("g.id").alias("grp"), F.col("g.q").alias("total"), F.col("g.x").alias("drawn"))
-        rows = rows.join(shared, ["node", "grp"]).withColumn("parts", _shares(F.col("parts"), F.col("total"), F.col("drawn"), F.col("node"), seed))
+        shared = sums.withColumn("total", total).select("node", F.explode(_shares("groups", "total", "ceil(total / 2)", seed + 1)).alias("g")).select("node", F.col("g.id").alias("grp"), F.col("g.q").alias("total"), F.col("g.x").alias("drawn"))
+        rows = rows.join(shared, ["node", "grp"]).withColumn("parts", _shares("parts", "total", "drawn", seed))
         rows = table(rows.select("node", "grp", "parts"), "mix-level")
         split.append(rows.select("node", F.explode("parts").alias("p")).select("node", F.col("p.id").alias("src"), F.col("p.x").alias("x")))
         side = lambda keep: F.transform("parts", lambda p: F.struct(p["id"].alias("id"), keep(p).alias("q")))

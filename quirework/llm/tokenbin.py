@@ -14,8 +14,9 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +55,9 @@ def encode(values: np.ndarray) -> bytes:
     packed = np.zeros(int(starts[-1]), np.uint8)
     for width in np.unique(widths[widths > 0]).tolist():
         at = np.flatnonzero(widths == width)
-        bits = (rest[at][:, :, None] >> np.arange(width, dtype=np.uint32)) & 1
-        rows = np.packbits(bits.astype(np.uint8).reshape(len(at), -1), axis=1, bitorder="little")
+        lanes = rest[at].astype("<u2" if width <= 16 else "<u4")
+        bits = np.unpackbits(lanes.view(np.uint8).reshape(len(at), BLOCK, -1), axis=2, bitorder="little", count=width)
+        rows = np.packbits(bits.reshape(len(at), -1), axis=1, bitorder="little")
         packed[starts[at][:, None] + np.arange(width * BLOCK // 8)] = rows
     where, slot = np.nonzero(odd)
     first = np.concatenate(([0], np.cumsum(odd.sum(axis=1)))).astype("<u4")
@@ -110,15 +112,17 @@ class Blocks:
 
 #: White space other than spaces and line feeds.
 RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Marks that such a tokenizer keeps apart from a letter before them.
+STOPS = {".", ",", ";", ":", "!", "?"}
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids by a byte-level BPE tokenizer that splits words before single spaces.
 
-    A text is cut before each single space between two non-spaces, where such a tokenizer always ends a word; the ids
-    of a unit are the library's, asked for once and remembered. Texts with the strings of added tokens go to the
-    library whole.
+    A text is cut before each single space, and around each single line feed, between two non-spaces, and between a
+    letter and one stop at a unit's end: such a tokenizer always ends a word there. The ids of a unit are the library's,
+    asked for once and remembered. Texts with the strings of added tokens go to the library whole.
     """
 
     def __init__(self, spec: str):
@@ -131,18 +135,27 @@ class Encoder:
     def units(self, text: str) -> list[str]:
         if any(t in text for t in self.added):
             return [text]
-        odd = "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or RARE_SPACE.search(text)
-        parts = BETWEEN.split(text) if odd else text.split(" ")
-        return [parts[0], *[" " + x for x in parts[1:]]]
+        odd = "  " in text or " \n" in text or "\n " in text or "\n\n" in text or "\0" in text or text[0] == " " or text[-1] == " " or RARE_SPACE.search(text)
+        if odd:
+            parts = BETWEEN.split(text)
+            return [parts[0], *[" " + x for x in parts[1:]]]
+        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+
+    def _learn(self, fresh: set[str]) -> None:
+        fresh = list(fresh)
+        for unit, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
+            self.known[unit] = array("I", found.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
         cut = [self.units(t) if t else [] for t in texts]
-        fresh = list({u for units in cut for u in units if u not in known})
-        for unit, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            known[unit] = np.array(found.ids, "<u4").tobytes()
+        fresh = set(chain.from_iterable(cut)).difference(known)
+        ended = {u for u in fresh if u[-1:] in STOPS and u[-2:-1].isalpha()}
+        self._learn(fresh.difference(ended).union([u[:-1] for u in ended], [u[-1] for u in ended]).difference(known))
+        for unit in ended:
+            known[unit] = known[unit[:-1]] + known[unit[-1]]
         return [b"".join(map(known.__getitem__, units)) for units in cut]
 
 
