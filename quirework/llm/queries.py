@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import decontaminate, mixing, simhash, tokenbin
+from quirework.llm import decontaminate, mixing, pst, simhash, tokenbin
 from quirework.llm.common import scratch_root, table
 
 ORACLE: dict[str, str] = {}
@@ -67,6 +67,10 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.documents(spark, path)
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pst.score(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[:2] == "op" and k[2:3].isdigit()}
 

@@ -34,7 +34,7 @@ SHARE = 0.9
 #: A segment is closed when it has so many ids; a document is never split.
 SEGMENT = 1 << 20
 #: Units of text whose ids a Python worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 1_000_000
 END = struct.pack("<I", 0)
 
 SCHEMA = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("before", T.LongType()), T.StructField("tokens", T.LongType()), T.StructField("doc_ids", T.ArrayType(T.LongType())), T.StructField("lengths", T.BinaryType()), T.StructField("ids", T.BinaryType())])
@@ -90,11 +90,9 @@ class Blocks:
             if width:
                 own = np.flatnonzero(self.widths[at] == width)
                 raw = self.packed[self.starts[at[own]][:, None] + np.arange(width * BLOCK // 8, dtype=np.uint32)]
-                bits = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(own), BLOCK, width)
-                values = np.zeros((len(own), BLOCK), np.uint32)
-                for k in range(width):
-                    values |= bits[:, :, k].astype(np.uint32) << np.uint32(k)
-                out[own] = values
+                bits = np.zeros((len(own), BLOCK, 16 if width <= 16 else 32), np.uint8)
+                bits[:, :, :width] = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(own), BLOCK, width)
+                out[own] = np.packbits(bits, axis=2, bitorder="little").view("<u2" if width <= 16 else "<u4")[:, :, 0]
         return out
 
     def block(self, k: int) -> np.ndarray:
@@ -151,12 +149,18 @@ class Encoder:
         if len(known) > REMEMBERED:
             known.clear()
         cut = [self.units(t) if t else [] for t in texts]
-        fresh = set(chain.from_iterable(cut)).difference(known)
+        flat = list(chain.from_iterable(cut))
+        found = list(map(known.get, flat))
+        gaps = [i for i, x in enumerate(found) if x is None]
+        fresh = {flat[i] for i in gaps}
         ended = {u for u in fresh if u[-1:] in STOPS and u[-2:-1].isalpha()}
         self._learn(fresh.difference(ended).union([u[:-1] for u in ended], [u[-1] for u in ended]).difference(known))
         for unit in ended:
             known[unit] = known[unit[:-1]] + known[unit[-1]]
-        return [b"".join(map(known.__getitem__, units)) for units in cut]
+        for i in gaps:
+            found[i] = known[flat[i]]
+        ends = list(accumulate(map(len, cut)))
+        return [b"".join(found[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
 
 
 _ENCODERS: dict[int, Encoder] = {}
