@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import decontaminate, mixing, pst, simhash, tokenbin
+from quirework.llm import decontaminate, mixing, pst, simhash, tokenbin, voronoi
 from quirework.llm.common import scratch_root, table
 
 ORACLE: dict[str, str] = {}
@@ -53,6 +53,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi.top_k(read(spark, sf_dir, "embeddings"), k=5, every=50, factor=256)
+
+
+ORACLE["op6_top_k"] = """
+with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e from embeddings where embedding is not null),
+flat as (select vec_id, unnest(e) as x, unnest(range(1, len(e) + 1)) as i from v),
+s as (select q.vec_id as query_id, d.vec_id, cast(sum(q.x * d.x) as bigint) as score from flat q join flat d on q.i = d.i and q.vec_id <> d.vec_id where q.vec_id % 50 = 0 group by 1, 2),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5"""
+
+
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = mixing.sized(read(spark, sf_dir, "documents"))
     aims = table(mixing.targets(sizes, mixing.cycled(sizes, (5, 2, 1)), share=1.5, cap=2.0), "mix-aims")
