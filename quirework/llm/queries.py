@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import decontaminate, mixing, pst, simhash, tokenbin, voronoi
+from quirework.llm import chunking, decontaminate, mixing, pst, simhash, tokenbin, voronoi
 from quirework.llm.common import scratch_root, table
 
 ORACLE: dict[str, str] = {}
@@ -53,6 +53,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.repeats(read(spark, sf_dir, "documents"), min_words=20)
+
+
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi.top_k(read(spark, sf_dir, "embeddings"), k=5, every=50, factor=256)
 
