@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from quirework.llm.common import renamed, table, word_count
 
-#: Blocks ranked in one window, about.
-RANKED = 20_000
+#: Blocks of one source ranked in one window, about.
+RANKED = 2_000
 #: Sources whose shares are drawn in one fold.
 FOLDED = 1000
 
@@ -148,9 +148,10 @@ def draw(sizes: DataFrame, aims: DataFrame, block: int | None = 512, shards: int
     last = F.floor((F.col("size") - 1) / block).cast("int") if block else F.lit(0)
     cut = rows.select("row", "doc_id", "src", "source_size", "target", "size", F.explode(F.sequence(F.lit(0), last)).alias("block"))
     rounds = cut.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("target") / F.col("source_size")).cast("int") - 1))))
-    rounds = rounds.select("row", "src", "epoch", "block", words.alias("words"), (F.col("target") - F.col("epoch") * F.col("source_size")).alias("aim"), F.xxhash64(F.lit(seed), "epoch", "doc_id", "src", "size", "block").alias("key"))
-    blocks = sizes.agg(F.sum(F.ceil(F.col("size") / block) if block else F.lit(1))).first()[0] or 0
-    rounds = rounds.withColumn("bucket", F.pmod(F.shiftright("key", 20), F.lit(-(-int(blocks) // RANKED) or 1)).cast("int"))
+    blocks, size = sizes.agg(F.sum(F.ceil(F.col("size") / block) if block else F.lit(1)), F.sum("size")).first()
+    buckets = F.ceil(F.col("source_size") * F.lit(float(blocks or 0) / max(1, int(size or 0)) / RANKED)).cast("int")
+    rounds = rounds.select("row", "src", "epoch", "block", F.greatest(F.lit(1), buckets).alias("buckets"), words.alias("words"), (F.col("target") - F.col("epoch") * F.col("source_size")).alias("aim"), F.xxhash64(F.lit(seed), "epoch", "doc_id", "src", "size", "block").alias("key"))
+    rounds = rounds.withColumn("bucket", F.pmod(F.shiftright("key", 20), F.col("buckets")).cast("int"))
     held = ["src", "epoch", "bucket"]
     counts = table(rounds.groupBy(*held).agg(F.count("*").alias("n"), F.sum("words").alias("w")), "mix-buckets")
     before = W.partitionBy("src", "epoch").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import chunking, decontaminate, mixing, pst, simhash, tokenbin, voronoi
+from quirework.llm import chunking, decontaminate, mixing, pst, simhash, tokenbin, voronoi, warc
 from quirework.llm.common import scratch_root, table
 
 ORACLE: dict[str, str] = {}
@@ -53,6 +53,49 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.derive(warc.responses(read(spark, sf_dir, "pages")))
+    return records.select(F.col("key").alias("page_id"), "type", "record_id", "refers_to", "target_uri", "block_digest", "payload_digest", F.octet_length("block").cast("long").alias("length"), F.sha2("warc_headers", 256).alias("headers_sha256"))
+
+
+def _warc_sql() -> str:
+    text = "coalesce(html, '')"
+    for pattern, to in ((r"(?s)<!--.*?-->", "' '"), (r"(?is)<script\b.*?</script\s*>", "' '"), (r"(?is)<style\b.*?</style\s*>", "' '"), (r"[ \t\r\n]+", "' '"), (rf"(?i)</?(?:{warc.BLOCKS})(?:[ /][^>]*)?>", "chr(10)"), (r"<[^>]*>", "''")):
+        text = f"regexp_replace({text}, '{pattern}', {to}, 'g')"
+    for name, char in warc.ENTITIES:
+        text = f"replace({text}, '{name}', chr({ord(char)}))"
+    text = f"regexp_replace(regexp_replace({text}, ' *\\n[ \\n]*', chr(10), 'g'), '^[ \\n]+|[ \\n]+$', '', 'g')"
+
+    def digest(x: str) -> str:
+        digits = ", ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + cast((v >> {5 * k}) & 31 as integer), 1)" for k in (3, 2, 1, 0))
+        groups = ", ".join(f"cast('0x' || substr(sha1({x}), {5 * i + 1}, 5) as bigint)" for i in range(8))
+        return f"'sha1:' || array_to_string(list_transform([{groups}], lambda v: concat({digits})), '')"
+
+    def name(kind: str) -> str:
+        h = f"md5('{kind}' || chr(10) || coalesce(cast(page_id as varchar), '') || chr(10) || coalesce(url, '') || chr(10) || sd)"
+        return f"'<urn:uuid:' || substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4) || '-' || substr({h}, 17, 4) || '-' || substr({h}, 21, 12) || '>'"
+
+    nl, size = "chr(13) || chr(10)", "octet_length(encode({}))"
+    return f"""
+with t as (select page_id, url, coalesce(html, '') as html, {text} as txt from pages),
+d as (select *, {digest('html')} as sd, {digest('txt')} as td from t),
+i as (select *, {name('response')} as rid, {name('metadata')} as mid, {name('conversion')} as cid,
+  'Content-Type: text/html; charset=utf-8' || {nl} || 'Content-Length: ' || {size.format('html')} as http,
+  case when txt = '' then 0 else len(txt) - len(replace(txt, chr(10), '')) + 1 end as n from d),
+r as (select page_id, url, 'response' as type, rid as record_id, null as refers_to, 'application/http; msgtype=response' as content, sd as payload_digest, 'HTTP/1.1 200' || {nl} || http || {nl} || {nl} || html as block from i
+  union all select page_id, url, 'metadata', mid, rid, 'application/warc-fields', null, 'source-status: 200' || {nl} || 'source-' || replace(http, {nl}, {nl} || 'source-') || {nl} || 'source-payload-digest: ' || sd || {nl} || 'conversion-record: ' || cid || {nl} || 'conversion-digest: ' || td || {nl} || 'source-length: ' || {size.format('html')} || {nl} || 'text-length: ' || {size.format('txt')} || {nl} || 'text-lines: ' || n from i
+  union all select page_id, url, 'conversion', cid, rid, 'text/plain; charset=utf-8', td, txt from i),
+b as (select *, {digest('block')} as bd, {size.format('block')} as length from r)
+select page_id, type, record_id, refers_to, url as target_uri, bd as block_digest, payload_digest, cast(length as bigint) as length,
+  sha256('WARC/1.1' || {nl} || 'WARC-Type: ' || type || {nl} || 'WARC-Record-ID: ' || record_id || {nl} || 'WARC-Date: 1970-01-01T00:00:00Z' || {nl} || case when url <> '' then 'WARC-Target-URI: ' || url || {nl} else '' end
+  || case when refers_to is null then '' else 'WARC-Refers-To: ' || refers_to || {nl} || case when url <> '' then 'WARC-Refers-To-Target-URI: ' || url || {nl} else '' end || 'WARC-Refers-To-Date: 1970-01-01T00:00:00Z' || {nl} end
+  || 'WARC-Block-Digest: ' || bd || {nl} || case when payload_digest is null then '' else 'WARC-Payload-Digest: ' || payload_digest || {nl} end || 'Content-Type: ' || content || {nl} || 'Content-Length: ' || length) as headers_sha256
+from b"""
+
+
+ORACLE["op4_warc_derivatives"] = _warc_sql()
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.repeats(read(spark, sf_dir, "documents"), min_words=20)
 
