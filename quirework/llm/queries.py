@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import chunking, decontaminate, mixing, pst, simhash, tokenbin, voronoi, warc
+from quirework.llm import chunking, decontaminate, langid, mixing, pst, simhash, tokenbin, voronoi, warc
 from quirework.llm.common import scratch_root, table
 
 ORACLE: dict[str, str] = {}
@@ -53,6 +53,15 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = langid.train(read(spark, sf_dir, "documents"))
+    pages = read(spark, sf_dir, "pages")
+    rows = pages.select("page_id", "url", warc.plain_text(F.col("html")).alias("text"), F.regexp_extract("html", r"(?is)<html\b[^>]*?\slang\s*=\s*[\"']?([A-Za-z][A-Za-z0-9_-]*)", 1).alias("declared"))
+    host, domain, suffix = langid.host_parts(F.col("url"))
+    found = langid.identify(rows, model, F.col("text"), F.col("declared"), host, domain, suffix)
+    return found.select("page_id", F.col("lid_host").alias("host"), F.col("lid_declared").alias("declared"), F.col("lid_text").alias("text_lang"), F.col("lid_lang").alias("lang"), F.round("lid_confidence", 6).alias("confidence"), F.col("lid_accepted").alias("accepted"))
+
+
 def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.derive(warc.responses(read(spark, sf_dir, "pages")))
     return records.select(F.col("key").alias("page_id"), "type", "record_id", "refers_to", "target_uri", "block_digest", "payload_digest", F.octet_length("block").cast("long").alias("length"), F.sha2("warc_headers", 256).alias("headers_sha256"))
