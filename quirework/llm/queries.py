@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import chunking, decontaminate, langid, mixing, pst, simhash, tokenbin, voronoi, warc
+from quirework.llm import chunking, decontaminate, langid, mixing, pst, secretscan, simhash, tokenbin, voronoi, warc
 from quirework.llm.common import scratch_root, table
 
 ORACLE: dict[str, str] = {}
@@ -135,6 +135,12 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.documents(spark, path)
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forest = secretscan.train(secretscan.labelled_findings(spark))
+    found = secretscan.scan(read(spark, sf_dir, "documents"), forest)
+    return found.select("doc_id", "place", F.length("candidate").alias("length"), F.sha2("candidate", 256).alias("candidate_sha256"), F.round("score", 6).alias("score"), "secret")
+
+
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pst.score(read(spark, sf_dir, "documents"))
 
