@@ -191,9 +191,9 @@ def view_cells(hashes: np.ndarray) -> np.ndarray:
         order = (hashes ^ (mix >> np.uint64(7))) * mix
         order ^= order >> np.uint64(32)
         least = np.sort(np.partition(order, SAMPLE - 1)[:SAMPLE]) if len(order) > SAMPLE else np.sort(order)
-        bits = np.uint64(fold((least * mix).astype("<u8")))
-        ones = sum(((bits >> np.uint64(k)) & np.uint64(0x1111111111111111)) for k in range(4))
-        out[v] = (ones ^ mix) * np.uint64(0x9E3779B97F4A7C15)
+        bits = fold((least * mix).astype("<u8"))
+        ones = sum(bits >> k & 0x1111111111111111 for k in range(4))
+        out[v] = (ones ^ int(mix)) * 0x9E3779B97F4A7C15 % (1 << 64)
     return out.view(np.int64)
 
 
