@@ -31,7 +31,7 @@ from quirework.llm.common import bytes_of, drop_table, prepare, renamed, table
 
 DEPTH = 5
 #: Most states of a model; those of the largest gain stay.
-STATES = 100_000
+STATES = 60_000
 #: Least occurrences of a retained context.
 LEAST = 4
 #: Words whose counts are broadcast.
@@ -163,10 +163,9 @@ def row_key(name: object, raw: bytes) -> int:
 
 
 def tree(counts: DataFrame, states: int = STATES, least: int = LEAST) -> DataFrame:
-    """(depth, key, n, total, kinds) of the retained states' symbols, from counts (key, n) of the longest grams.
+    """(depth, key, n) of all symbols of the retained states, from counts (key, n) of the longest grams.
 
-    key holds the context's bytes and then the symbol; total and kinds are the state's occurrences and its distinct
-    next symbols. A context is tested by how much likelier, in nats, it makes its next symbols than its suffix does:
+    key holds the context's bytes and then the symbol. A context is tested by how much likelier, in nats, it makes its next symbols than its suffix does:
     total times the divergence of the two distributions. It must gain 2 and 0.5 for each distinct symbol. At most `states` states stay, those of
     the largest gain. The root always stays.
     """
@@ -187,10 +186,10 @@ def tree(counts: DataFrame, states: int = STATES, least: int = LEAST) -> DataFra
         gain = F.col("ratio") - F.col("total") * (F.log("total") - F.col("ln"))
         tested.append(each.join(over, "up").select(F.lit(d).alias("depth"), "ctx", "total", "kinds", gain.alias("gain")).where(F.col("gain") >= F.col("kinds") * 0.5 + 2))
     kept = table(reduce(DataFrame.unionByName, tested).orderBy(F.desc("gain"), "depth", "ctx").limit(states), "pst-states")
-    parts = [at[0].crossJoin(F.broadcast(sums[0].select("total", "kinds"))).select(F.lit(0).alias("depth"), "key", "n", "total", "kinds")]  # one row beside 256
+    parts = [at[0].select(F.lit(0).alias("depth"), "key", "n")]
     for d in range(1, DEPTH + 1):
-        own = kept.where(F.col("depth") == d).select("ctx", "total", "kinds")
-        parts.append(at[d].withColumn("ctx", context("key")).join(own, "ctx").select(F.lit(d).alias("depth"), "key", "n", "total", "kinds"))
+        own = kept.where(F.col("depth") == d).select("ctx")
+        parts.append(at[d].withColumn("ctx", context("key")).join(own, "ctx").select(F.lit(d).alias("depth"), "key", "n"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -198,14 +197,14 @@ class Model:
     """A bounded suffix tree as sorted arrays, depth by depth."""
 
     def __init__(self, rows: pa.Table):
-        depth, key, n, total, kinds = (rows.column(c).to_numpy() for c in ("depth", "key", "n", "total", "kinds"))
+        depth, key, n = (rows.column(c).to_numpy() for c in ("depth", "key", "n"))
         self.levels = []
         for d in range(DEPTH + 1):
             own = np.flatnonzero(depth == d)
             own = own[np.argsort(key[own])]
-            weight = (total[own] + kinds[own]).astype(np.float64)
-            ctx, first = np.unique(key[own] >> 8, return_index=True)
-            self.levels.append((key[own], n[own] / weight, ctx, (kinds[own] / weight)[first]))
+            ctx, place, kinds = np.unique(key[own] >> 8, return_inverse=True, return_counts=True)
+            weight = np.bincount(place, weights=n[own], minlength=len(ctx)) + kinds
+            self.levels.append((key[own], (n[own] / weight[place]).astype(np.float32), ctx, (kinds / weight).astype(np.float32)))
 
     def probability(self, keys: np.ndarray) -> np.ndarray:
         """Of each gram's symbol in the longest retained suffix of its context: from the root, whose distribution is
@@ -285,17 +284,23 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", states: i
     kind = rows.schema["doc_id"].dataType.simpleString()
     gathered = table(rows.mapInArrow(_gather(frequent), "kind int, key bigint, word binary, n bigint"), "pst-gathered")
     counts = table(gathered.where("kind = 0").groupBy("key").agg(F.sum("n").alias("n")), "pst-grams")
-    words = gathered.where("kind = 1").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(frequent).collect()
-    top = sorted(bytes(r["word"]) for r in words)
+    words = gathered.where("kind = 1").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(frequent).toArrow()
+    top = sorted(words["word"].to_pylist())
+    del words
     tokens, texts = (x or 0 for x in gathered.where("kind = 2").agg(F.sum("key"), F.sum("n")).first())
     least = sorted(r[0] for r in gathered.where("kind = 3").select("key").distinct().orderBy("key").limit(KINDS).collect())
     model = Model(tree(counts, states).toArrow())
     held = np.zeros(len(top), np.int64)
-    for r in rows.mapInArrow(_frequent(spark.sparkContext.broadcast(top)), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).collect():
-        held[r["key"]] = r["n"]
+    asked = spark.sparkContext.broadcast(top)
+    sums = rows.mapInArrow(_frequent(asked), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    held[sums["key"].to_numpy()] = sums["n"].to_numpy()
+    asked.destroy()
     estimate = tokens + 1 + kinds_of(least)
     shared = spark.sparkContext.broadcast((model, top, held, texts, estimate))
     found = table(rows.mapInArrow(_score(shared), f"doc_id {kind}, {FIELDS}"), "pst-scored")
+    shared.destroy()
+    del model, top, sums
+    pa.default_memory_pool().release_unused()
     same = W.partitionBy("key")
     rare = found.where("key is not null").select("at", "tree", F.sum("train").over(same).alias("c"), F.row_number().over(same.orderBy("at")).alias("i"))
     zero = F.lit(0).cast("long")
