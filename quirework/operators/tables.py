@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as Y
 
 from quirework.functions import text as T
 from quirework.operators.structure import own, renumber
 from quirework.session import workers_import
 
-ROWS = Y.ArrayType(Y.ArrayType(Y.StringType()))
-
 
 def cells(html: Column, span_only: bool = False) -> Column:
     """Rows of (txt, rs, cs) of a table's HTML."""
@@ -49,11 +48,11 @@ def expand(tables: DataFrame, rows: str = "rows", out: str = "grid") -> DataFram
     """tables with the grid of each; spans carry from row to row, so each table is one Python call, in Arrow batches."""
     workers_import(tables.sparkSession)
 
-    @F.pandas_udf(ROWS)
+    @F.pandas_udf("string")
     def each(column: pd.Series) -> pd.Series:
-        return column.map(lambda t: None if t is None else grid(t))
+        return column.map(lambda t: None if t is None else json.dumps(grid(json.loads(t))))
 
-    return tables.withColumn(out, each(F.col(rows)))
+    return tables.withColumn(out, F.from_json(each(F.to_json(rows)), "array<array<string>>"))
 
 
 def pipe_table(rows: Column) -> Column:
