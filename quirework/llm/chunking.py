@@ -64,11 +64,11 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
             ids, nos, starts, sizes, words, digests = [], [], [], [], [], []
             for name, raw in zip(batch.column(0).to_pylist(), bytes_of(batch, "body"), strict=True):
                 ends = cuts(raw)
-                begins = [0, *ends[:-1]]
+                begins = [0, *ends][:-1]
                 parts = [raw[a:b] for a, b in zip(begins, ends, strict=True)]
                 ids += [name] * len(ends)
                 nos += range(len(ends))
-                starts += begins if ends else []
+                starts += begins
                 sizes += map(len, parts)
                 words += [len(p.split()) for p in parts]
                 digests += [hashlib.blake2b(p, digest_size=16).digest() for p in parts]
@@ -84,8 +84,8 @@ def repeats(docs: DataFrame, min_words: int = 20, doc_id: str = "doc_id", text:
     """(doc_id, start, end, words, chunks, first_doc_id): byte spans of texts that repeat what stands earlier.
 
     A chunk repeats if its digest stands before, in the order of (doc_id, place); a span is a run of adjacent chunks
-    that repeat, of min_words words or more, so that no short phrase counts. first_doc_id is the document in which the
-    span's first chunk stands first. A passage of over 50 words that repeats holds such a run, less a partial chunk
+    that repeat, of min_words words or more, so that no short phrase counts. first_doc_id is the document in which most
+    of the span's chunks stand first, the smaller of several. A passage of over 50 words that repeats holds such a run, less a partial chunk
     at either end. Copies of a whole text are one span. Null ids stand before all others; rows of one id are told
     apart by nothing but their place, so repeated rows repeat each other's chunks only if their places differ.
     Null and empty texts have no chunks. Other columns are not looked at. Nothing is dropped to escape a frequent chunk:
@@ -97,7 +97,7 @@ def repeats(docs: DataFrame, min_words: int = 20, doc_id: str = "doc_id", text:
     later = all_chunks.join(first, ["hi", "lo"]).where(F.struct("doc_id", "no") > F.col("first"))
     own = W.partitionBy("doc_id").orderBy("no")
     runs = later.withColumn("run", F.col("no") - F.row_number().over(own)).groupBy("doc_id", "run")
-    spans = runs.agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"), F.sum("words").alias("words"), F.count("*").alias("chunks"), F.min_by("first.doc_id", "no").alias("first_doc_id"))
+    spans = runs.agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"), F.sum("words").alias("words"), F.count("*").alias("chunks"), F.mode("first.doc_id", True).alias("first_doc_id"))
     return spans.where(F.col("words") >= min_words).drop("run")
 
 
@@ -106,7 +106,7 @@ def remove(docs: DataFrame, min_words: int = 20, doc_id: str = "doc_id", text: s
     prepare(docs.sparkSession)
     spans = repeats(docs, min_words, doc_id, text).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cdc_spans")).withColumnRenamed("doc_id", "cdc_id")
     joined = docs.join(spans, docs[f"`{doc_id}`"].cast("long") == F.col("cdc_id"), "left")
-    at = docs.columns.index(text)
+    names, at = docs.columns, docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,8 +120,8 @@ def remove(docs: DataFrame, min_words: int = 20, doc_id: str = "doc_id", text: s
                         last = s["end"]
                     raw = b"".join([*kept, raw[last:]])
                 out.append(raw)
-            columns = batch.columns[: len(docs.columns)]
+            columns = batch.columns[: len(names)]
             columns[at] = pa.array(out, pa.binary()).cast(batch.column(at).type)
-            yield pa.RecordBatch.from_arrays(columns, docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return joined.select(*[docs[f"`{c}`"] for c in docs.columns], "cdc_spans").mapInArrow(run, docs.schema)

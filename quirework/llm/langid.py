@@ -105,7 +105,8 @@ def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host
 
     Rejected: rows whose best class is "und" or of a confidence under min_confidence, and rows without a trigram
     (null, empty or blank texts), whose lid_lang is "und". Null or unknown declared languages are evidence of their own
-    kind ("none", "other"); a null host is the host "". Columns of rows under the added names are replaced. Ties go to
+    kind ("none", "other"); a null host is the host "". A model of under about 600,000 trigrams a language gives unseen
+    ones more than "und" does, so nothing of a text falls there. Columns of rows under the added names are replaced. Ties go to
     the language that sorts first.
     """
     spark = rows.sparkSession
@@ -127,7 +128,7 @@ def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host
     guess = F.when(F.col("lid__n") > 0, F.array_position("lid__ll", F.array_max("lid__ll")) - 1).otherwise(F.lit(n)).cast("int")
     scored = table(scored.withColumn("lid_declared", known).withColumn("lid__guess", guess).drop("lid__tag"), "lid-text")
     counts = [F.sum(F.when(F.col("lid__guess") == i, 1).otherwise(0)).alias(f"c{i}") for i in range(n)]
-    by_host = table(scored.groupBy("lid__suffix", "lid__domain", "lid_host").agg(*counts), "lid-hosts")
+    by_host = table(scored.groupBy("lid__suffix", "lid__domain", "lid_host").agg(F.count("*").alias("rows"), *counts), "lid-hosts")
     sums = [F.sum(f"c{i}").alias(f"c{i}") for i in range(n)]
     whole = by_host.agg(*sums, F.count("*")).first()
     totals = [float(whole[i] or 0) for i in range(n)]
@@ -139,9 +140,9 @@ def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host
     for d in [*names, "none", "other"]:
         overall = (sum(kinds.get((d, i), 0) for i in range(n)) + 1) / (all_of + n + 2)
         told[d] = [float(np.log((kinds.get((d, i), 0) + PARENT * overall) / (totals[i] + PARENT))) for i in range(n)] + [float(np.log(overall))]
-    suffixes = by_host.groupBy("lid__suffix").agg(*sums).withColumn("t", total())
+    suffixes = by_host.groupBy("lid__suffix").agg(F.count("*").alias("hosts"), *sums).withColumn("t", total())
     suffixes = suffixes.select("lid__suffix", F.array(*[F.log((F.col(f"c{i}") + F.lit(PARENT) * (F.col("t") + 1) / F.lit(all_of + 1)) / F.lit(totals[i] + PARENT)) for i in range(n)], F.log((F.col("t") + 1) / F.lit(all_of + 1))).alias("sx"))
-    domains = by_host.groupBy(F.col("lid__domain").alias("dom")).agg(*[F.sum(f"c{i}").alias(f"d_c{i}") for i in range(n)]).withColumn("d_t", total("d_"))
+    domains = by_host.groupBy(F.col("lid__domain").alias("dom")).agg(F.count("*").alias("hosts"), *[F.sum(f"c{i}").alias(f"d_c{i}") for i in range(n)]).withColumn("d_t", total("d_"))
     hosts = by_host.withColumn("t", total()).join(domains, by_host["lid__domain"] == F.col("dom"))
     of_domain = [(F.col(f"d_c{i}") + F.lit(PARENT * share[i])) / (F.col("d_t") + F.lit(PARENT)) for i in range(n)]
     prior = F.array(*[_logs(F.col(f"c{i}"), F.col("t"), of_domain[i]) for i in range(n)], F.lit(float(np.log(1e-3))))
