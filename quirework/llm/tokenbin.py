@@ -33,8 +33,8 @@ BLOCK = 128
 SHARE = 0.9
 #: A segment is closed when it has so many ids; a document is never split.
 SEGMENT = 1 << 20
-#: Units of text whose ids a Python worker remembers.
-REMEMBERED = 1_000_000
+#: Units of text whose ids a Python worker remembers: so many of late, and as many from before that.
+REMEMBERED = 800_000
 END = struct.pack("<I", 0)
 
 SCHEMA = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("before", T.LongType()), T.StructField("tokens", T.LongType()), T.StructField("doc_ids", T.ArrayType(T.LongType())), T.StructField("lengths", T.BinaryType()), T.StructField("ids", T.BinaryType())])
@@ -129,6 +129,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def units(self, text: str) -> list[str]:
         if any(t in text for t in self.added):
@@ -145,14 +146,19 @@ class Encoder:
             self.known[unit] = array("I", found.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         cut = [self.units(t) if t else [] for t in texts]
         flat = list(chain.from_iterable(cut))
         found = list(map(known.get, flat))
         gaps = [i for i, x in enumerate(found) if x is None]
-        fresh = {flat[i] for i in gaps}
+        fresh = set()
+        for unit in {flat[i] for i in gaps}:
+            if unit in older:
+                known[unit] = older[unit]
+            else:
+                fresh.add(unit)
         ended = {u for u in fresh if u[-1:] in STOPS and u[-2:-1].isalpha()}
         self._learn(fresh.difference(ended).union([u[:-1] for u in ended], [u[-1] for u in ended]).difference(known))
         for unit in ended:
