@@ -187,13 +187,17 @@ _MIX = np.array([int.from_bytes(xxhash.xxh64_digest(f"view {v}".encode()), "big"
 def view_cells(hashes: np.ndarray) -> np.ndarray:
     """For each view: the grid cell of the fingerprint of the SAMPLE shingles that come first in the view's order."""
     out = np.empty(VIEWS, np.uint64)
-    for v, mix in enumerate(_MIX):
-        order = (hashes ^ (mix >> np.uint64(7))) * mix
+    step = max(1, min(VIEWS, (1 << 20) // max(1, len(hashes))))
+    for at in range(0, VIEWS, step):
+        mix = _MIX[at : at + step, None]
+        order = (hashes[None, :] ^ (mix >> np.uint64(7))) * mix
         order ^= order >> np.uint64(32)
-        least = np.sort(np.partition(order, SAMPLE - 1)[:SAMPLE]) if len(order) > SAMPLE else np.sort(order)
-        bits = fold((least * mix).astype("<u8"))
-        ones = sum(bits >> k & 0x1111111111111111 for k in range(4))
-        out[v] = (ones ^ int(mix)) * 0x9E3779B97F4A7C15 % (1 << 64)
+        least = np.sort(np.partition(order, SAMPLE - 1, axis=1)[:, :SAMPLE] if len(hashes) > SAMPLE else order, axis=1)
+        drawn = np.ascontiguousarray(least * mix, "<u8")
+        counts = np.unpackbits(drawn.view(np.uint8).reshape(*drawn.shape, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.int64)
+        bits = np.packbits(counts * 2 > drawn.shape[1], axis=1, bitorder="little").view("<u8")[:, 0]
+        ones = sum((bits >> np.uint64(k)) & np.uint64(0x1111111111111111) for k in range(4))
+        out[at : at + step] = (ones ^ mix[:, 0]) * np.uint64(0x9E3779B97F4A7C15)
     return out.view(np.int64)
 
 
