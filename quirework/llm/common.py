@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows handed to Python at once. Texts may be long, so batches stay short.
-ARROW_ROWS = 1000
+ARROW_ROWS = 500
+#: Paths of scratch tables that release() may delete.
+_SCRATCH: list[str] = []
 
 
 def prepare(spark: SparkSession) -> None:
@@ -33,21 +35,45 @@ def scratch_root(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def table(df: DataFrame, label: str) -> DataFrame:
-    """Writes df to a scratch table and reads it back: lineage ends there, and lost executors cost no recomputation."""
+def table(df: DataFrame, label: str, kept: bool = False) -> DataFrame:
+    """Writes df to a scratch table and reads it back: lineage ends there, and lost executors cost no recomputation.
+    kept: release() leaves it."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/quirework-{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label, kept)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_path(spark: SparkSession, label: str, kept: bool = False) -> str:
+    path = f"{scratch_root(spark)}/quirework-{label}-{uuid.uuid4().hex}"
+    if not kept:
+        _SCRATCH.append(path)
+    return path
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def forget() -> None:
+    """From now on release() leaves the scratch tables made so far."""
+    _SCRATCH.clear()
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes the scratch tables made in this process since forget(). For a pipeline, between stages: what a stage gave has been
+    written by then, and nothing reads its scratch tables again."""
+    while _SCRATCH:
+        _delete(spark, _SCRATCH.pop())
+
+
 def drop_table(df: DataFrame) -> None:
     """Deletes a scratch table that no later plan reads."""
     spark = df.sparkSession
     for name in {os.path.dirname(f) for f in df.inputFiles()}:
         if "/quirework-" in name:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(spark, name)
 
 
 def bytes_of(batch: pa.RecordBatch, name: str) -> list[bytes]:

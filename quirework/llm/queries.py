@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework.llm import chunking, decontaminate, langid, mixing, pst, secretscan, simhash, tokenbin, voronoi, warc
-from quirework.llm.common import scratch_root, table
+from quirework.llm.common import scratch_path, table
 
 ORACLE: dict[str, str] = {}
 
@@ -130,7 +129,7 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    path = f"{scratch_root(spark)}/quirework-tokens-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "tokens")
     tokenbin.write(read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return tokenbin.documents(spark, path)
 
