@@ -181,6 +181,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 #: Views of a document's shingles that similar_documents() takes, and shingles in each.
 VIEWS, SAMPLE = 16, 4
+#: Shingles, and documents, of a block of a cell's members; two blocks are compared in one task.
+BLOCK_SHINGLES, BLOCK_DOCS = 1 << 19, 4096
 _MIX = np.array([int.from_bytes(xxhash.xxh64_digest(f"view {v}".encode()), "big") | 1 for v in range(VIEWS)], np.uint64)
 
 
@@ -230,6 +232,82 @@ def _alike(similarity: float):
     return run
 
 
+def _across(sets: list[np.ndarray], roots: np.ndarray, side: np.ndarray | None, similarity: float) -> Iterator[tuple[int, int]]:
+    """Index pairs that connect what is alike and not of one root yet; with side, only pairs of two sides are compared.
+
+    Alike sets share one at least of their rarest shingles, the first size - similarity * size + 1 of each in one order of all
+    shingles, so only what meets there is compared."""
+    sizes = np.array([len(x) for x in sets])
+    kinds, tokens, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(kinds), np.int64)
+    rank[np.argsort(counts, kind="stable")] = np.arange(len(kinds))
+    own = [np.sort(x) for x in np.split(rank[tokens], np.cumsum(sizes)[:-1])]
+    alone = int((counts == 1).sum())  # shingles of one set come first and lead to no other
+    first = [x[: n - int(np.ceil(similarity * n - 1e-9)) + 1] for x, n in zip(own, sizes.tolist(), strict=True)]
+    first = [x[np.searchsorted(x, alone) :] for x in first]
+    place, holder = np.concatenate(first), np.repeat(np.arange(len(first)), [len(x) for x in first])
+    order = np.argsort(place, kind="stable")
+    place, holder = place[order], holder[order]
+    roots, mark = roots.copy(), np.zeros(len(kinds), bool)
+    for i, mine in enumerate(first):
+        lows, highs = np.searchsorted(place, mine), np.searchsorted(place, mine, "right")
+        met = np.unique(np.concatenate([holder[a:b] for a, b in zip(lows, highs, strict=True)])) if len(mine) else mine
+        met = met[(met > i) & (roots[met] != roots[i]) & (sizes[met] >= similarity * sizes[i]) & (sizes[i] >= similarity * sizes[met])]
+        if side is not None:
+            met = met[side[met] != side[i]]
+        mark[own[i]] = True
+        for j in met.tolist():
+            if roots[j] != roots[i]:
+                both = int(mark[own[j]].sum())
+                if both >= similarity * (int(sizes[i]) + int(sizes[j]) - both):
+                    roots[roots == roots[j]] = roots[i]
+                    yield i, j
+        mark[own[i]] = False
+
+
+def _compare(similarity: float):
+    """Of rows (cell, i, j, block, rep, component, shingles) in the order of (cell, i, j): the links of each two blocks."""
+
+    def links(group: list[tuple]) -> list[tuple[int, int]]:
+        side = None if group[0][1] == group[0][2] else np.array([x[3] for x in group])
+        sets = [np.frombuffer(x[6], "<u4") for x in group]
+        return [(group[a][4], group[b][4]) for a, b in _across(sets, np.array([x[5] for x in group]), side, similarity)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if group and row[:3] != group[0][:3]:
+                    out += links(group)
+                    group = []
+                group.append(row)
+            yield pairs_of(out)
+        yield pairs_of(links(group) if group else [])
+
+    def pairs_of(out: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return run
+
+
+def _rest(shared: DataFrame, centres: DataFrame, found: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): the links that the comparison with centres does not show. In each cell whose members less the centre are of
+    two components or more, all pairs of two components are compared, in blocks; of cells of the same members, one."""
+    named = shared.join(found, shared.rep == found.node, "left").select("cell", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    others = table(named.join(centres.select("cell", "centre"), "cell").where("rep <> centre").drop("centre"), "set-others")
+    mark = F.xxhash64("rep")
+    cells_left = others.groupBy("cell").agg(F.count("*").alias("docs"), F.sum("n").alias("total"), F.min("component").alias("low"), F.max("component").alias("high"), F.bit_xor(mark).alias("x"), F.sum(F.shiftright(mark, 8)).alias("y")).where("low < high")
+    blocks = F.greatest(F.ceil(F.col("total") / BLOCK_SHINGLES), F.ceil(F.col("docs") / BLOCK_DOCS)).cast("int").alias("blocks")
+    cells_left = table(cells_left.groupBy("docs", "total", "x", "y").agg(F.min("cell").alias("cell")).select("cell", blocks), "set-cells-left")
+    dealt = others.join(cells_left, "cell").withColumn("block", F.pmod(F.xxhash64("rep", F.lit("block")), F.col("blocks")).cast("int"))
+    both = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))).alias("at")
+    dealt = table(dealt.select("cell", both, "block", "rep", "component").select("cell", "at.i", "at.j", "block", "rep", "component"), "set-dealt")
+    held = sets.join(dealt.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").groupBy(F.col("doc_id").alias("rep")).agg(F.first("shingles").alias("shingles"))
+    rows = dealt.join(held, "rep").select("cell", "i", "j", "block", "rep", "component", "shingles")
+    return rows.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j").mapInArrow(_compare(similarity), "a bigint, b bigint")
+
+
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, component_id) of each row: documents linked by a Jaccard similarity of their word shingles of at least
     `similarity`, and the smallest id reachable.
@@ -238,8 +316,8 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     VIEWS fingerprints, each of the SAMPLE shingles that come first in an order of the view's own. Documents whose
     fingerprints share a grid cell of a view are candidates: at 0.8, 41 % a view and 99.98 % in 16. In each cell, the
     document that shares the most cells with others is the centre, and all others are compared with it, exactly, by
-    their sets of shingles (of 32-bit hashes); so links grow with documents and cells, not with pairs. Equal sets are
-    one point. Documents of fewer words than a shingle are one shingle; those without words are alike. A null id
+    their sets of shingles (of 32-bit hashes). What that leaves in several components is then compared among itself, in
+    blocks, so that each pair that meets in a cell is compared or of one component already. Equal sets are one point. Documents of fewer words than a shingle are one shingle; those without words are alike. A null id
     is linked by its text but never the smallest. Repeated rows each come back.
     """
     prepare(docs.sparkSession)
@@ -258,7 +336,10 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     asked = pairs.select(F.col("rep").alias("doc_id")).union(pairs.select("centre")).distinct()
     held = table(held.join(asked, "doc_id", "left_semi").groupBy("doc_id").agg(F.first("shingles").alias("shingles")), "set-held")
     both = pairs.join(held.select(F.col("doc_id").alias("rep"), F.col("shingles").alias("x")), "rep").join(held.select(F.col("doc_id").alias("centre"), F.col("shingles").alias("y")), "centre").select("rep", "centre", "x", "y")
-    found = connected_components(table(both.mapInArrow(_alike(similarity), "a bigint, b bigint"), "set-edges"))
+    found = table(connected_components(table(both.mapInArrow(_alike(similarity), "a bigint, b bigint"), "set-edges")), "set-found")
+    rest = table(_rest(shared, centres, found, sets, similarity), "set-rest")
+    if not rest.isEmpty():
+        found = connected_components(rest.union(found.select("node", "component")))
     named = table(reps.join(found, reps.rep == found.node, "left").select("hi", "lo", F.coalesce("component", "rep").alias("component_id")), "set-named")
     return sets.select("doc_id", "hi", "lo").join(named, ["hi", "lo"]).select("doc_id", "component_id")
 

@@ -115,6 +115,27 @@ def test_similar_documents(spark, docs, texts):
     assert sorted(kept) == sorted(set(want))
 
 
+def test_similar_documents_of_copies_of_copies(spark, monkeypatch):
+    rng = random.Random(11)
+    copies = [[f"w{rng.randrange(9999)}" for _ in range(120)]]
+    for _ in range(2999):
+        copy = list(rng.choice(copies[-3:]))
+        for _ in range(2):
+            copy[rng.randrange(120)] = f"w{rng.randrange(9999)}"
+        copies.append(copy)
+    hashes = [np.unique(simhash.shingle_hashes(" ".join(c).encode(), 5)) for c in copies]
+    s, cells = [set(h.tolist()) for h in hashes], {}
+    for i, h in enumerate(hashes):
+        for c in set(simhash.view_cells(h).tolist()):
+            cells.setdefault(c, []).append(i)
+    pairs = {(a, b) for x in cells.values() for k, b in enumerate(x) for a in x[:k]}
+    want = linked(len(s), [(a, b) for a, b in pairs if len(s[a] & s[b]) >= 0.8 * len(s[a] | s[b])])
+    df = spark.createDataFrame([(i, " ".join(c)) for i, c in enumerate(copies)], "doc_id long, text string")
+    monkeypatch.setattr(simhash, "BLOCK_DOCS", 100, raising=False)
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(df).collect()}
+    assert (len(set(got.values())), got) == (len(set(want)), dict(enumerate(want)))
+
+
 def test_components(spark):
     rng = random.Random(2)
     pairs = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(0, x) for x in range(150, 200)] + [(None, 3)]
