@@ -177,12 +177,14 @@ def taken(sizes: DataFrame, aims: DataFrame, drawn: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, weights: DataFrame | None = None, share: float = 1.5, cap: float = 2.0, shards: int = 16, seed: int = 7, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix of whole documents, with the columns of docs: a document stands there once for each time it is drawn.
 
-    Rows are ordered by shard and place within each partition. Ids must be unique; one null id counts as an id.
+    Rows are ordered by shard and place within each partition. They are told apart by number, so ids may repeat or be null.
     weights: (source, weight); without them, 5, 2, 1 repeat over the sources. The words drawn from a source come within
     half a document of its target.
     """
-    sizes = sized(docs, doc_id, text, source)
+    rows = table(docs.withColumn("mix__row", F.monotonically_increasing_id()), "mix-rows")
+    named = renamed(rows, {"row": "mix__row", "doc_id": doc_id, "source": source, "body": text})
+    sizes = table(named.select("row", "doc_id", "source", word_count(F.col("body")).alias("size")), "mix-sizes")
     aims = table(targets(sizes, cycled(sizes) if weights is None else weights, share, cap), "mix-aims")
-    drawn = draw(sizes, aims, None, shards, seed).join(sizes.select("row", F.col("doc_id").alias("mix__id")), "row").select("mix__id", F.col("shard").alias("mix__shard"), F.col("place").alias("mix__place"))
+    drawn = draw(sizes, aims, None, shards, seed).select(F.col("row").alias("mix__row"), F.col("shard").alias("mix__shard"), F.col("place").alias("mix__place"))
     drawn = table(drawn, "mix-chosen")
-    return docs.join(drawn, docs[f"`{doc_id}`"].eqNullSafe(drawn.mix__id)).sortWithinPartitions("mix__shard", "mix__place").select(*[docs[f"`{c}`"] for c in docs.columns])
+    return rows.join(drawn, "mix__row").sortWithinPartitions("mix__shard", "mix__place").select(*[rows[f"`{c}`"] for c in docs.columns])

@@ -181,6 +181,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 #: Views of a document's shingles that similar_documents() takes, and shingles in each.
 VIEWS, SAMPLE = 16, 4
+#: The number of a row in deduplicate().
+ROW = "dedup__row"
 #: Shingles, and documents, of a block of a cell's members; two blocks are compared in one task.
 BLOCK_SHINGLES, BLOCK_DOCS = 1 << 19, 4096
 _MIX = np.array([int.from_bytes(xxhash.xxh64_digest(f"view {v}".encode()), "big") | 1 for v in range(VIEWS)], np.uint64)
@@ -303,7 +305,7 @@ def _rest(shared: DataFrame, centres: DataFrame, found: DataFrame, sets: DataFra
     dealt = others.join(cells_left, "cell").withColumn("block", F.pmod(F.xxhash64("rep", F.lit("block")), F.col("blocks")).cast("int"))
     both = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))).alias("at")
     dealt = table(dealt.select("cell", both, "block", "rep", "component").select("cell", "at.i", "at.j", "block", "rep", "component"), "set-dealt")
-    held = sets.join(dealt.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").groupBy(F.col("doc_id").alias("rep")).agg(F.first("shingles").alias("shingles"))
+    held = sets.join(dealt.select(F.col("rep").alias("row")).distinct(), "row", "left_semi").select(F.col("row").alias("rep"), "shingles")
     rows = dealt.join(held, "rep").select("cell", "i", "j", "block", "rep", "component", "shingles")
     return rows.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j").mapInArrow(_compare(similarity), "a bigint, b bigint")
 
@@ -317,14 +319,15 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     fingerprints share a grid cell of a view are candidates: at 0.8, 41 % a view and 99.98 % in 16. In each cell, the
     document that shares the most cells with others is the centre, and all others are compared with it, exactly, by
     their sets of shingles (of 32-bit hashes). What that leaves in several components is then compared among itself, in
-    blocks, so that each pair that meets in a cell is compared or of one component already. Equal sets are one point. Documents of fewer words than a shingle are one shingle; those without words are alike. A null id
-    is linked by its text but never the smallest. Repeated rows each come back.
+    blocks, so that each pair that meets in a cell is compared or of one component already. Equal sets are one point. Documents of fewer words than a shingle are one shingle; those without words are alike. Rows are
+    told apart by number, not by id: a null id, or one that stands in several rows, is linked by its text, and a null id is
+    never the smallest (component_id is null if a component has no other). Repeated rows each come back.
     """
     prepare(docs.sparkSession)
     rows = renamed(docs, {"doc_id": doc_id, "body": text}).select(F.col("doc_id").cast("long").alias("doc_id"), "body")
-    sets = table(rows.mapInArrow(_sets(shingle), "doc_id bigint, hi bigint, lo bigint, n int, shingles binary, cells array<bigint>"), "sets")
-    reps = table(sets.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep")), "set-reps")
-    points = sets.join(reps, (sets.hi == reps.hi) & (sets.lo == reps.lo) & (sets.doc_id == reps.rep)).select("rep", "n", "cells")
+    sets = table(rows.mapInArrow(_sets(shingle), "doc_id bigint, hi bigint, lo bigint, n int, shingles binary, cells array<bigint>").withColumn("row", F.monotonically_increasing_id()), "sets")
+    reps = table(sets.groupBy("hi", "lo").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least")), "set-reps")
+    points = sets.join(reps, sets.row == reps.rep).select("rep", "n", "cells")
     spread = table(points.select("rep", "n", F.explode("cells").alias("cell")).distinct(), "set-cells")
     sizes = table(spread.groupBy("cell").agg(F.count("*").alias("size")).where("size > 1"), "set-sizes")
     shared = table(spread.join(sizes, "cell"), "set-shared")
@@ -332,24 +335,26 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     centres = table(shared.join(weight, "rep").groupBy("cell").agg(F.max(F.struct("weight", (-F.col("rep")).alias("neg"), "n")).alias("c")).select("cell", (-F.col("c.neg")).alias("centre"), F.col("c.n").alias("m")), "set-centres")
     near = shared.join(centres, "cell").where("rep <> centre").where((F.col("n") >= F.col("m") * F.lit(similarity)) & (F.col("m") >= F.col("n") * F.lit(similarity)))
     pairs = table(near.select("rep", "centre").distinct(), "set-pairs")
-    held = sets.select("doc_id", "shingles")
-    asked = pairs.select(F.col("rep").alias("doc_id")).union(pairs.select("centre")).distinct()
-    held = table(held.join(asked, "doc_id", "left_semi").groupBy("doc_id").agg(F.first("shingles").alias("shingles")), "set-held")
-    both = pairs.join(held.select(F.col("doc_id").alias("rep"), F.col("shingles").alias("x")), "rep").join(held.select(F.col("doc_id").alias("centre"), F.col("shingles").alias("y")), "centre").select("rep", "centre", "x", "y")
+    held = sets.select("row", "shingles")
+    asked = pairs.select(F.col("rep").alias("row")).union(pairs.select("centre")).distinct()
+    held = table(held.join(asked, "row", "left_semi"), "set-held")
+    both = pairs.join(held.select(F.col("row").alias("rep"), F.col("shingles").alias("x")), "rep").join(held.select(F.col("row").alias("centre"), F.col("shingles").alias("y")), "centre").select("rep", "centre", "x", "y")
     found = table(connected_components(table(both.mapInArrow(_alike(similarity), "a bigint, b bigint"), "set-edges")), "set-found")
     rest = table(_rest(shared, centres, found, sets, similarity), "set-rest")
     if not rest.isEmpty():
         found = connected_components(rest.union(found.select("node", "component")))
-    named = table(reps.join(found, reps.rep == found.node, "left").select("hi", "lo", F.coalesce("component", "rep").alias("component_id")), "set-named")
+    named = table(reps.join(found, reps.rep == found.node, "left").select("hi", "lo", "least", F.coalesce("component", "rep").alias("component")), "set-named")
+    named = named.join(named.groupBy("component").agg(F.min("least").alias("component_id")), "component")
     return sets.select("doc_id", "hi", "lo").join(named, ["hi", "lo"]).select("doc_id", "component_id")
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """docs less near-duplicates: of each component of similar_documents() the row of the smallest id stays; of repeated
-    rows of one id, one stays. A null id stays only if no other id has the like; one row of those stays."""
-    found = table(similar_documents(docs, doc_id, text, shingle, similarity), "dedup")
-    stays = found.where("doc_id <=> component_id")
-    many = stays.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    ids = table(stays.distinct().select(F.col("doc_id").alias("stay_id")), "dedup-stays")
-    kept = docs.join(ids, docs[f"`{doc_id}`"].cast("long").eqNullSafe(ids.stay_id), "left_semi")
-    return kept if many.isEmpty() else kept.dropDuplicates([doc_id])
+    """docs less near-duplicates: of each component of similar_documents() one row stays, that of the smallest id, null last;
+    of several rows of that id, any. So each group keeps one row whatever its ids, and rows of one id whose texts differ
+    are of different groups."""
+    rows = table(docs.withColumn(ROW, F.monotonically_increasing_id()), "dedup-rows")
+    found = similar_documents(rows, ROW, text, shingle, similarity).withColumnRenamed("doc_id", ROW)
+    ids = rows.select(ROW, rows[f"`{doc_id}`"].cast("long").alias("id"))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", ROW)
+    stays = table(found.join(ids, ROW).groupBy("component_id").agg(F.min(order).alias("least")).select(F.col(f"least.{ROW}").alias(ROW)), "dedup-stays")
+    return rows.join(stays, ROW, "left_semi").select(*[rows[f"`{c}`"] for c in docs.columns])

@@ -136,6 +136,16 @@ def test_similar_documents_of_copies_of_copies(spark, monkeypatch):
     assert (len(set(got.values())), got) == (len(set(want)), dict(enumerate(want)))
 
 
+def test_deduplicate_rows_without_an_id_of_their_own(spark):
+    rng = random.Random(3)
+    text = [" ".join(f"w{rng.randrange(9999)}" for _ in range(60)) for _ in range(40)]
+    rows = [(None, t) for t in text[:30]] + [(7, t) for t in text[30:35]] + [(i, t) for i, t in enumerate(text[35:], 50)]
+    rows += [(None, text[0]), (None, text[1] + " x"), (None, text[35]), (3, text[2]), (7, text[36])]
+    kept = simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(kept) == 40 and {r.text.removesuffix(" x") for r in kept} == set(text)
+    assert {r.doc_id for r in kept if r.text in (text[2], text[35], text[36])} == {3, 50, 7}
+
+
 def test_components(spark):
     rng = random.Random(2)
     pairs = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(0, x) for x in range(150, 200)] + [(None, 3)]
@@ -242,6 +252,13 @@ def test_mix(spark, docs, texts, empty):
     assert mixed.columns == docs.columns and max(Counter(r.doc_id for r in mixed.collect()).values()) <= 2
 
 
+def test_mix_of_rows_without_an_id(spark):
+    rows = [(None, f"t{i} " * 20, "s", i) for i in range(30)]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, n int")).collect()
+    counts = Counter(r.n for r in mixed)
+    assert len(counts) == 30 and max(counts.values()) <= 2 and 44 <= len(mixed) <= 46
+
+
 def test_hypergeometric(spark):
     from pyspark.sql import functions as F
 
