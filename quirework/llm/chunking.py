@@ -3,21 +3,25 @@
 A gear hash rolls over a text's bytes: h = 2 h + G[byte], so its upper bits depend on the last 32 bytes only. A chunk
 ends after white space where the three upper bits are zero, after about 8 words. The places follow the content: an
 insertion moves the cuts near it and no others. Equal chunks are found by digest; of each, the first in the order of
-(doc_id, place) stays.
+(doc_id, place) stays. passages() needs no whole chunk: its anchors are places of the least gear hash near them, and what
+meets there is extended byte by byte.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quirework.llm.common import bytes_of, prepare, renamed, table
+from quirework.llm.common import bytes_of, drop_table, prepare, renamed, table
 
 #: Upper bits of the hash that are zero at a cut: one white space in 2 ** BITS ends a chunk.
 BITS = 3
@@ -26,6 +30,14 @@ LONGEST = 4096
 #: Bytes whose hash is rolled at once; the 32 before them are rolled again.
 STRETCH = 1 << 20
 
+#: Of so many byte positions in a row, the one of the least gear hash is an anchor.
+WINDOW = 64
+#: Bytes on either side of a match that are compared first; only what reaches further is compared in whole texts.
+MARGIN = 256
+#: Words of a span: an ideograph or kana, four letters of a script without spaces, or a run between white space.
+_ALONE, _FOUR = "\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff", "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
+WORDS = re.compile(f"[{_ALONE}]|[{_FOUR}]{{1,4}}|[^\\s{_ALONE}{_FOUR}]+")
+
 GEAR = np.array([int.from_bytes(hashlib.blake2b(bytes([b]), digest_size=4, key=b"gear").digest(), "little") for b in range(256)], np.uint32)
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
@@ -101,10 +113,165 @@ def repeats(docs: DataFrame, min_words: int = 20, doc_id: str = "doc_id", text:
     return spans.where(F.col("words") >= min_words).drop("run")
 
 
+def anchors(raw: bytes) -> np.ndarray:
+    """Last bytes of the 32-byte windows that stand for a text: of each WINDOW positions, the least gear hash.
+
+    A run of 31 + WINDOW bytes or more, wherever it stands, holds an anchor that its copies have too. It needs no white space."""
+    data, found = np.frombuffer(raw, np.uint8), []
+    for at in range(0, max(0, len(data) - 31), STRETCH):
+        part = data[at : at + STRETCH + 31 + WINDOW]
+        hashes = rolled(part)[31:]
+        key = hashes.astype(np.uint64) << np.uint64(32) | np.arange(len(hashes), dtype=np.uint64)
+        reach = 1
+        while reach < WINDOW and len(key) > reach:
+            key, reach = np.minimum(key[:-reach], key[reach:]), reach * 2
+        key = key if reach >= WINDOW else key.min(keepdims=True)
+        place = np.unique((key & np.uint64(0xFFFFFFFF)).astype(np.int64))
+        # Where equal windows follow one another, as in "aaaa", one in each WINDOW / 2 positions is enough.
+        fresh = np.concatenate(([True], hashes[place[1:]] != hashes[place[:-1]]))
+        step = (place - place[np.maximum.accumulate(np.where(fresh, np.arange(len(place)), 0))]) // (WINDOW // 2)
+        found.append(place[fresh | np.concatenate(([True], step[1:] != step[:-1]))] + at + 31)
+    return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+
+
+def _same(a: np.ndarray, b: np.ndarray) -> int:
+    """How many bytes two texts begin with alike."""
+    n, at, step = min(len(a), len(b)), 0, 64
+    while at < n:
+        other = np.flatnonzero(a[at : min(n, at + step)] != b[at : min(n, at + step)])
+        if len(other):
+            return at + int(other[0])
+        at, step = at + step, step * 2
+    return n
+
+
+def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (row, first_doc_id, places, body, earlier): how far each place repeats the earlier text."""
+    for batch in batches:
+        out = []
+        for row, first, places, one, two in zip(*(batch.column(k).to_pylist() for k in range(3)), *(bytes_of(batch, n) for n in ("body", "earlier")), strict=True):
+            a, b, reached = np.frombuffer(one, np.uint8), np.frombuffer(two, np.uint8), {}
+            for at, was in sorted((p["pos"], p["was"]) for p in places):
+                if reached.get(at - was, -1) > at or one[at - 31 : at + 1] != two[was - 31 : was + 1]:
+                    continue
+                start, end = at + 1 - _same(a[at::-1], b[was::-1]), at + _same(a[at:], b[was:])
+                reached[at - was] = end
+                out.append((row, first, start, end))
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(4)], ["row", "first_doc_id", "start", "end"])
+
+
+def _segments(margin: int):
+    """Of rows (row, places, body): the bytes around the places that lie near each other and as far from the same text's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row, places, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bytes_of(batch, "body"), strict=True):
+                groups: list[list] = []
+                for earlier, far, at, first in sorted(((p["from"], p["pos"] - p["was"], p["pos"], p["first_doc_id"]) for p in places), key=lambda x: x[:3]):
+                    if groups and groups[-1][:2] == [earlier, far] and at - groups[-1][3][-1] <= 2 * margin:
+                        groups[-1][3].append(at)
+                    else:
+                        groups.append([earlier, far, first, [at]])
+                for earlier, far, first, found in groups:
+                    low = max(0, found[0] - 31 - margin)
+                    out.append((row, earlier, far, first, found, low, len(raw), raw[low : found[-1] + 1 + margin]))
+            types = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)], ["row", "from", "far", "first_doc_id", "found", "low", "size", "part"])
+
+    return run
+
+
+def _in_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of what _segments() gives, with the earlier text: how far each place repeats it; open, if further than the segment."""
+    for batch in batches:
+        out = []
+        for row, earlier, far, first, found, low, size, part, two in zip(*(c.to_pylist() for c in batch.columns[:-1]), bytes_of(batch, "earlier"), strict=True):
+            a, b, reached = np.frombuffer(part, np.uint8), np.frombuffer(two, np.uint8), -1
+            for pos in found:
+                at, was = pos - low, pos - far
+                if pos < reached or part[at - 31 : at + 1] != two[was - 31 : was + 1]:
+                    continue
+                start, end = at + 1 - _same(a[at::-1], b[was::-1]), at + _same(a[at:], b[was:])
+                wide = (start == 0 and low > 0 and low > far) or (end == len(part) and low + end < min(size, len(two) + far))
+                reached = low + end
+                out.append((row, first, low + start, low + end, earlier, far, wide))
+        types = [pa.int64()] * 6 + [pa.bool_()]
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)], ["row", "first_doc_id", "start", "end", "from", "far", "wide"])
+
+
+def _merged(min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for name, parts, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bytes_of(batch, "body"), strict=True):
+                spans: list[list] = []
+                for p in sorted(parts, key=lambda p: (p["start"], p["end"])):
+                    if spans and p["start"] <= spans[-1][1]:
+                        spans[-1][1] = max(spans[-1][1], p["end"])
+                    else:
+                        spans.append([p["start"], p["end"], 0, Counter()])
+                    spans[-1][2] += 1
+                    spans[-1][3][p["first_doc_id"]] += p["end"] - p["start"]
+                for start, end, n, firsts in spans:
+                    while start < end and raw[start] & 0xC0 == 0x80:  # whole characters only
+                        start += 1
+                    while start < end < len(raw) and raw[end] & 0xC0 == 0x80:
+                        end -= 1
+                    words = len(WORDS.findall(raw[start:end].decode("utf-8", "replace")))
+                    if words >= min_words:
+                        out.append((name, start, end, words, n, min(firsts, key=lambda x: (-firsts[x], x is not None, x or 0))))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(6)], ["doc_id", "start", "end", "words", "chunks", "first_doc_id"])
+
+    return run
+
+
+def passages(docs: DataFrame, min_words: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, start, end, words, chunks, first_doc_id): like repeats(), but each match is extended byte by byte.
+
+    Each anchor of a text meets the first place of its 32 bytes, in the order of (doc_id, row, place), and the match is
+    extended to left and right as far as both texts agree. Matches that touch are one span, `chunks` is how many; only
+    then min_words counts, in words of WORDS. first_doc_id is the document of most matched bytes. What repeats on
+    95 bytes or more holds an anchor, so over 50 words always do. Rows are told apart by number, so ids may repeat.
+    """
+    prepare(docs.sparkSession)
+    rows = table(renamed(docs, {"doc_id": doc_id, "body": text}).select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "body").where("body is not null"), "cdc-rows")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(raw, anchors(raw)) for raw in bytes_of(batch, "body")]
+            of = np.repeat(np.arange(len(found)), [len(x) for _, x in found])
+            digests = [xxhash.xxh3_64_intdigest(raw[at - 31 : at + 1]) for raw, places in found for at in places.tolist()]
+            place = np.concatenate([np.empty(0, np.int64), *(x for _, x in found)])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of)), pa.array(place), pa.array(np.array(digests, np.uint64).view(np.int64))], ["row", "doc_id", "pos", "hash"])
+
+    marks = table(rows.mapInArrow(run, "row bigint, doc_id bigint, pos bigint, hash bigint"), "cdc-anchors")
+    at = F.struct("doc_id", "row", "pos")
+    first = table(marks.groupBy("hash").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select("hash", "first"), "cdc-first")
+    later = marks.join(first, "hash").where(at > F.col("first"))
+    places = later.groupBy("row").agg(F.collect_list(F.struct("pos", F.col("first.row").alias("from"), F.col("first.pos").alias("was"), F.col("first.doc_id").alias("first_doc_id"))).alias("places"))
+    places = table(places, "cdc-places")
+    drop_table(marks)
+    drop_table(first)
+    near = places.join(rows.select("row", "body"), "row").select("row", "places", "body")
+    near = table(near.mapInArrow(_segments(MARGIN), "row bigint, from bigint, far bigint, first_doc_id bigint, found array<bigint>, low bigint, size bigint, part binary"), "cdc-segments")
+    drop_table(places)
+    bodies = rows.select(F.col("row").alias("from"), F.col("body").alias("earlier"))
+    met = near.join(bodies, "from").select("row", "from", "far", "first_doc_id", "found", "low", "size", "part", "earlier")
+    parts = table(met.mapInArrow(_in_segments, "row bigint, first_doc_id bigint, start bigint, end bigint, from bigint, far bigint, wide boolean"), "cdc-parts")
+    drop_table(near)
+    open_at = F.collect_list(F.struct((F.col("start") + 31).alias("pos"), (F.col("start") + 31 - F.col("far")).alias("was"))).alias("places")
+    wide = parts.where("wide").groupBy("row", "from", "first_doc_id").agg(open_at).join(rows.select("row", "body"), "row").join(bodies, "from")
+    wide = table(wide.select("row", "first_doc_id", "places", "body", "earlier").mapInArrow(_extended, "row bigint, first_doc_id bigint, start bigint, end bigint"), "cdc-wide")
+    parts = parts.where("not wide").select("row", "first_doc_id", "start", "end").union(wide)
+    spans = parts.groupBy("row").agg(F.collect_list(F.struct("start", "end", "first_doc_id")).alias("parts")).join(rows, "row")
+    return spans.select("doc_id", "parts", "body").mapInArrow(_merged(min_words), "doc_id bigint, start bigint, end bigint, words bigint, chunks bigint, first_doc_id bigint")
+
+
 def remove(docs: DataFrame, min_words: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs less the spans that repeats() finds; all rows and columns stay. Ids must be unique and not null."""
+    """docs less the spans that passages() finds; all rows and columns stay. Ids must be unique and not null."""
     prepare(docs.sparkSession)
-    spans = repeats(docs, min_words, doc_id, text).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cdc_spans")).withColumnRenamed("doc_id", "cdc_id")
+    spans = passages(docs, min_words, doc_id, text).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cdc_spans")).withColumnRenamed("doc_id", "cdc_id")
     joined = docs.join(spans, docs[f"`{doc_id}`"].cast("long") == F.col("cdc_id"), "left")
     names, at = docs.columns, docs.columns.index(text)
 

@@ -213,6 +213,27 @@ def test_repeats(spark, docs, texts, empty):
     assert chunking.repeats(empty).count() == 0
 
 
+def test_substring_dedup_finds_whole_passages(spark, tmp_path, monkeypatch):
+    from quirework.llm.queries import op5_substring_dedup
+
+    rng = random.Random(8)
+    make = lambda n: " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(1, 9))) for _ in range(n))
+    cjk = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(n))
+    rows, want = [], {}
+    for i in range(300):
+        fill, shared = (cjk, cjk(60)) if i % 10 == 0 else (make, make(51))
+        gap = "" if fill is cjk else " "
+        lead = fill(rng.randint(20, 60)) + gap
+        rows += [(i, fill(30) + gap + shared + gap + fill(30)), (1000 + i, lead + shared + gap + fill(40))]
+        want[1000 + i] = (i, len(lead.encode()), len((lead + shared).encode()))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r for r in op5_substring_dedup(spark, str(tmp_path)).collect()}
+    assert len(found) == len(want), len(found)
+    monkeypatch.setattr(chunking, "MARGIN", 16, raising=False)
+    assert {r.doc_id: r[:4] for r in op5_substring_dedup(spark, str(tmp_path)).collect()} == {i: r[:4] for i, r in found.items()}
+    assert all((r.first_doc_id == f) and a - 9 <= r.start <= a and b <= r.end <= b + 9 for i, (f, a, b) in want.items() for r in [found[i]])
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(400)] + [(i, [0.5] * 8) for i in range(400, 460)]
