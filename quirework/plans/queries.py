@@ -427,8 +427,9 @@ def au2_lenient(spark, sf_dir):
 
 @query()
 def au4_backfill(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("para_no"), F.replace(F.substring("text", 1, 400), F.lit(","), F.lit("")).alias("para"), T.no_space(T.fold_repair(F.substring("text", 1, 1000))).alias("page"))
-    return audit.backfill(docs).select("para_no", "status", F.md5("fixed").alias("fixed"))
+    paras = F.split(F.replace("text", F.lit(","), F.lit("")), "\\n|(?<=[.!?。！？])\\s+")
+    docs = read(spark, sf_dir, "documents").select("doc_id", paras.alias("paras"), T.no_space(T.fold_repair(F.col("text"))).alias("page"))
+    return audit.backfill_pages(docs).select("doc_id", "para_no", "status", F.md5("fixed").alias("fixed"))
 
 
 @query(f"with d as (select book, string_agg(line, chr(10) order by line_no) as t from {LINES} group by book) select book, cast(0 as bigint) as figure_refs, cast(0 as bigint) as captions, cast(0 as bigint) as dollars, cast(len(regexp_extract_all(t, 'images/[0-9a-f]{{20,}}\\.')) as bigint) as hash_refs, cast(0 as bigint) as inline, cast(0 as bigint) as placeholders from d")

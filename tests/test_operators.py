@@ -147,3 +147,24 @@ def test_stream(spark, tmp_path):
     got = []
     ingest(chunk_stream(spark, str(tmp_path / "in")), lambda b: got.extend(b.collect()), str(tmp_path / "cp")).awaitTermination()
     assert len(got) == 1
+
+
+def test_backfill_covers_whole_texts(spark, tmp_path):
+    import hashlib
+    import random
+    import re
+
+    from quirework.plans.queries import QUERIES
+
+    rng = random.Random(4)
+    say = lambda n: " ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(n))
+    texts = [(i, "\n".join(f"{say(6)}, {say(5)}. {say(4)}, {say(6)}." for _ in range(60))) for i in range(3)] + [(9, None)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, QUERIES["au4_backfill"](spark, str(tmp_path)).collect()))
+    want = []
+    for i, t in texts[:3]:
+        page = re.sub(r"\s", "", audit.folded_map(t)[0])
+        for k, p in enumerate(re.split(r"\n|(?<=[.!?])\s+", t.replace(",", ""))):
+            status, fixed = audit.repair(p, page)
+            want.append((i, k, status, hashlib.md5(fixed.encode()).hexdigest()))
+    assert got == want and len(got) == 360 and sum(r[2] == "fixed" for r in got) > 100
