@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quirework.llm.common import bytes_of, drop_table, prepare, renamed, table
+from quirework.llm.common import bytes_of, drop_table, prepare, renamed, slices, table
 
 #: Upper bits of the hash that are zero at a cut: one white space in 2 ** BITS ends a chunk.
 BITS = 3
@@ -72,7 +72,7 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, nos, starts, sizes, words, digests = [], [], [], [], [], []
             for name, raw in zip(batch.column(0).to_pylist(), bytes_of(batch, "body"), strict=True):
                 ends = cuts(raw)
@@ -147,7 +147,7 @@ def _same(a: np.ndarray, b: np.ndarray) -> int:
 
 def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows (row, first_doc_id, places, body, earlier): how far each place repeats the earlier text."""
-    for batch in batches:
+    for batch in slices(batches):
         out = []
         for row, first, places, one, two in zip(*(batch.column(k).to_pylist() for k in range(3)), *(bytes_of(batch, n) for n in ("body", "earlier")), strict=True):
             a, b, reached = np.frombuffer(one, np.uint8), np.frombuffer(two, np.uint8), {}
@@ -164,7 +164,7 @@ def _segments(margin: int):
     """Of rows (row, places, body): the bytes around the places that lie near each other and as far from the same text's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for row, places, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bytes_of(batch, "body"), strict=True):
                 groups: list[list] = []
@@ -184,7 +184,7 @@ def _segments(margin: int):
 
 def _in_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of what _segments() gives, with the earlier text: how far each place repeats it; open, if further than the segment."""
-    for batch in batches:
+    for batch in slices(batches):
         out = []
         for row, earlier, far, first, found, low, size, part, two in zip(*(c.to_pylist() for c in batch.columns[:-1]), bytes_of(batch, "earlier"), strict=True):
             a, b, reached = np.frombuffer(part, np.uint8), np.frombuffer(two, np.uint8), -1
@@ -202,7 +202,7 @@ def _in_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _merged(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for name, parts, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bytes_of(batch, "body"), strict=True):
                 spans: list[list] = []
@@ -238,7 +238,7 @@ def passages(docs: DataFrame, min_words: int = 20, doc_id: str = "doc_id", text:
     rows = table(renamed(docs, {"doc_id": doc_id, "body": text}).select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "body").where("body is not null"), "cdc-rows")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [(raw, anchors(raw)) for raw in bytes_of(batch, "body")]
             of = np.repeat(np.arange(len(found)), [len(x) for _, x in found])
             digests = [xxhash.xxh3_64_intdigest(raw[at - 31 : at + 1]) for raw, places in found for at in places.tolist()]
@@ -276,7 +276,7 @@ def remove(docs: DataFrame, min_words: int = 20, doc_id: str = "doc_id", text: s
     names, at = docs.columns, docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             gone = batch.column(batch.num_columns - 1).to_pylist()
             out = []
             for raw, spans in zip(batch.column(at).cast(pa.binary()).to_pylist(), gone, strict=True):

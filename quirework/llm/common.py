@@ -5,34 +5,44 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows handed to Python at once. Texts may be long, so batches stay short.
+#: Rows that a Python function works on at once.
 ARROW_ROWS = 500
 #: Paths of scratch tables that release() may delete.
 _SCRATCH: list[str] = []
+#: The local folder of scratch tables, once one is made.
+_LOCAL = ""
 
 
 def prepare(spark: SparkSession) -> None:
-    """Lets Python workers import this package and bounds the batches that they get."""
+    """Lets Python workers import this package."""
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
+def slices(batches: Iterable[pa.RecordBatch], rows: int = ARROW_ROWS) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in parts of at most so many rows. Spark bounds a batch by bytes; a part is what Python objects are made of."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a local one only where it is unset."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where it is unset: a local one of this process if all runs on
+    this machine, else the warehouse."""
+    global _LOCAL
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="quirework-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    if not found and spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+        _LOCAL = found = _LOCAL or "file://" + tempfile.mkdtemp(prefix="quirework-")
+    return (found or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def table(df: DataFrame, label: str, kept: bool = False) -> DataFrame:

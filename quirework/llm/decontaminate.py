@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quirework.llm.common import bytes_of, prepare, renamed, without
+from quirework.llm.common import bytes_of, prepare, renamed, slices, without
 
 #: Item bytes in one automaton. More items make more automata, each streamed in a pass of its own.
 SHARD_BYTES = 2_000_000
@@ -177,7 +177,7 @@ def _automaton(items: list[tuple[str, bytes]], window: int) -> Automaton:
 def _pass(shared, text: str, window: int, least: int, carry: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         built = _automaton(shared.value, window)
-        for batch in batches:
+        for batch in slices(batches):
             rows = {n: [] for n in ADDED}
             before = batch.column(batch.schema.get_field_index("decon_spans")).to_pylist() if carry else None
             owned = batch.column(batch.schema.get_field_index("decon_items")).to_pylist() if carry else None

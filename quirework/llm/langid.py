@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quirework.llm.common import bytes_of, prepare, renamed, table
+from quirework.llm.common import bytes_of, prepare, renamed, slices, table
 
 BUCKETS = 1 << 16
 #: Neighbouring trigrams share bytes, so their evidence counts for less than its sum.
@@ -74,7 +74,7 @@ def train(labelled: DataFrame, text: str = "text", label: str = "lang", least: i
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(languages), BUCKETS), np.int64)
         place = {l: i for i, l in enumerate(languages)}
-        for batch in batches:
+        for batch in slices(batches):
             for raw, name in zip(bytes_of(batch, "body"), batch.column(1).to_pylist(), strict=True):
                 if name in place:
                     sums[place[name]] += np.bincount(trigrams(raw), minlength=BUCKETS)
@@ -117,7 +117,7 @@ def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host
     shared = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [shared.value.likelihoods(raw) for raw in bytes_of(batch, "lid__body")]
             keep = [i for i, c in enumerate(batch.schema.names) if c != "lid__body"]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in keep], pa.array([g for g, _ in found], pa.int64()), pa.array([x for _, x in found], pa.list_(pa.float64()))], [*[batch.schema.names[i] for i in keep], "lid__n", "lid__ll"])

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quirework.llm.common import bytes_of, drop_table, prepare, renamed, table
+from quirework.llm.common import bytes_of, drop_table, prepare, renamed, slices, table
 
 DEPTH = 5
 #: Most states of a model; those of the largest gain stay.
@@ -111,7 +111,7 @@ def _gather(frequent: int):
         words: Counter[bytes] = Counter()
         keys, counts, tokens, texts = np.empty(0, np.int64), np.empty(0, np.int64), 0, 0
         smallest = np.empty(0, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             lines = []
             for name, raw in zip(batch.column(0).to_pylist(), bytes_of(batch, "body"), strict=True):
                 if in_training(name):
@@ -146,7 +146,7 @@ def _frequent(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {w: i for i, w in enumerate(shared.value)}
         sums = np.zeros(len(known) + 1, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for name, raw in zip(batch.column(0).to_pylist(), bytes_of(batch, "body"), strict=True):
                 if in_training(name):
                     own = raw.lower().split()
@@ -240,7 +240,7 @@ def _score(shared):
         model, frequent, counts, ends, whole = shared.value
         known = {w: i for i, w in enumerate(frequent)}
         counts = np.concatenate((counts, [ends, -1])).astype(np.float64)  # then the end, and what is rare
-        for batch in batches:
+        for batch in slices(batches):
             names, texts = batch.column(0).to_pylist(), bytes_of(batch, "body")
             words = [raw.lower().split() for raw in texts]
             lines = [line_of(own) for own in words]

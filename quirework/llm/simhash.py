@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quirework.llm.common import bytes_of, drop_table, prepare, renamed, table
+from quirework.llm.common import bytes_of, drop_table, prepare, renamed, slices, table
 from quirework.llm.components import connected_components
 
 SEED = 42
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             fps = np.array([fold(shingle_hashes(raw, shingle)) for raw in bytes_of(batch, "body")], "<u8").view("<i8")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
 
@@ -207,7 +207,7 @@ def view_cells(hashes: np.ndarray) -> np.ndarray:
 
 def _sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for raw in bytes_of(batch, "body"):
                 hashes = np.unique(shingle_hashes(raw, shingle))
@@ -222,7 +222,7 @@ def _sets(shingle: int):
 
 def _alike(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
                 one, two = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
@@ -277,7 +277,7 @@ def _compare(similarity: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple[int, int]] = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if group and row[:3] != group[0][:3]:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm.common import prepare, renamed
+from quirework.llm.common import prepare, renamed, slices
 
 CRLF = "\r\n"
 #: Character references that text extraction resolves, the ampersand last.
@@ -107,7 +107,8 @@ def write(records: DataFrame, path: str) -> None:
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    made = lambda heads, blocks: pa.RecordBatch.from_arrays([pa.array(heads, pa.string()), pa.array(blocks, pa.string())], ["warc_headers", "block"])
+    for batch in slices(batches, 1):
         for raw in batch.column(0).to_pylist():
             heads, blocks, at = [], [], 0
             while at < len(raw):
@@ -117,14 +118,16 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 heads.append(head)
                 blocks.append(raw[end + 4 : end + 4 + size].decode("utf-8", "replace"))
                 at = end + 4 + size + 4
-            yield pa.RecordBatch.from_arrays([pa.array(heads, pa.string()), pa.array(blocks, pa.string())], ["warc_headers", "block"])
+                if len(heads) == 500:
+                    yield made(heads, blocks)
+                    heads, blocks = [], []
+            yield made(heads, blocks)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(type, record_id, refers_to, target_uri, warc_headers, block) of the records of uncompressed WARC files of under
     2 GB each; blocks go by Content-Length."""
     prepare(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     rows = spark.read.format("binaryFile").load(path).select("content").mapInArrow(_parse, "warc_headers string, block string")
     field = lambda name: F.nullif(F.regexp_extract("warc_headers", rf"(?im)^{name}: ([^\r\n]*)", 1), F.lit(""))
     return rows.select(field("WARC-Type").alias("type"), field("WARC-Record-ID").alias("record_id"), field("WARC-Refers-To").alias("refers_to"), field("WARC-Target-URI").alias("target_uri"), "warc_headers", "block")

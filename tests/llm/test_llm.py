@@ -307,8 +307,15 @@ def test_tokens(spark, docs, texts, tmp_path, empty):
 
     tok = Tokenizer.from_file(TOKENIZER)
     coder = tokenbin.Encoder(open(TOKENIZER).read())
-    for x in (" a  b", "a\n b \t c", "<|endoftext|> x y", "  ", "x\n\ny.\nz", "it's  don't 12 34\r\n", "a\x1c b", "a\0 b", "a. b, c.\nD", " é"):
+    for x in (" a  b", "a\n b \t c", "<|endoftext|> x y", "  ", "x\n\ny.\nz", "it's  don't 12 34\r\n", "a\x1c b", "a\0 b", "a. b, c.\nD", " é", "x" * 80 + " y,", "\u3000a", "a\u2028b c", "", "w. " * 30, "１２, ³. ñ! ?"):
         assert np.frombuffer(coder.encode([x])[0], "<u4").tolist() == tok.encode(x, add_special_tokens=False).ids, x
+    for name, few in (("REMEMBERED", 200), ("TOGETHER", 40)):  # forgets often; cuts texts into pieces
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(tokenbin, name, few)
+            fresh = tokenbin.Encoder(open(TOKENIZER).read())
+            for _ in range(2):
+                found = fresh.encode([t or "" for _, t in texts])
+                assert [x.tolist() for x in found] == [tok.encode(t or "", add_special_tokens=False).ids for _, t in texts]
     tokenbin.write(docs, str(tmp_path / "t"), TOKENIZER, segment=300)
     got = sorted(tuple(r) for r in tokenbin.documents(spark, str(tmp_path / "t")).collect())
     want, start = [], 0
@@ -317,6 +324,10 @@ def test_tokens(spark, docs, texts, tmp_path, empty):
         want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert got == want
+    none = spark.createDataFrame([(None, f"t {i}") for i in range(50)] + [(4, None), (4, "b"), (4, "b")], "doc_id long, text string").repartition(3)
+    tokenbin.write(none, str(tmp_path / "n"), TOKENIZER)
+    rows = sorted(tokenbin.documents(spark, str(tmp_path / "n")).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [None] * 50 + [4] * 3 and [r.start for r in rows] == [sum(x.n_tokens for x in rows[:k]) for k in range(53)]
     tokenbin.write(empty, str(tmp_path / "e"), TOKENIZER)
     assert tokenbin.documents(spark, str(tmp_path / "e")).count() == 0
 
