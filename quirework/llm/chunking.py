@@ -12,7 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +32,12 @@ STRETCH = 1 << 20
 
 #: Of so many byte positions in a row, the one of the least gear hash is an anchor.
 WINDOW = 64
-#: Bytes on either side of a match that are compared first; only what reaches further is compared in whole texts.
+#: Bytes on either side of a match's places, besides the 31 + WINDOW in which another place must follow, that are compared.
 MARGIN = 256
+#: The number of a row in remove().
+ROW = "cdc__row"
+#: What is known of a text's places before its bytes are compared.
+FOUND = "row bigint, from bigint, far bigint, first_doc_id bigint, found array<bigint>"
 #: Words of a span: an ideograph or kana, four letters of a script without spaces, or a run between white space.
 _ALONE, _FOUR = "\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff", "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
 WORDS = re.compile(f"[{_ALONE}]|[{_FOUR}]{{1,4}}|[^\\s{_ALONE}{_FOUR}]+")
@@ -145,94 +149,76 @@ def _same(a: np.ndarray, b: np.ndarray) -> int:
     return n
 
 
-def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (row, first_doc_id, places, body, earlier): how far each place repeats the earlier text."""
-    for batch in slices(batches):
-        out = []
-        for row, first, places, one, two in zip(*(batch.column(k).to_pylist() for k in range(3)), *(bytes_of(batch, n) for n in ("body", "earlier")), strict=True):
-            a, b, reached = np.frombuffer(one, np.uint8), np.frombuffer(two, np.uint8), {}
-            for at, was in sorted((p["pos"], p["was"]) for p in places):
-                if reached.get(at - was, -1) > at or one[at - 31 : at + 1] != two[was - 31 : was + 1]:
-                    continue
-                start, end = at + 1 - _same(a[at::-1], b[was::-1]), at + _same(a[at:], b[was:])
-                reached[at - was] = end
-                out.append((row, first, start, end))
-        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(4)], ["row", "first_doc_id", "start", "end"])
-
-
-def _segments(margin: int):
-    """Of rows (row, places, body): the bytes around the places that lie near each other and as far from the same text's."""
+def _groups(margin: int):
+    """Of rows (row, places): places that lie near each other and as far from the same earlier text's, as FOUND."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out = []
-            for row, places, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bytes_of(batch, "body"), strict=True):
-                groups: list[list] = []
+            out: list[tuple] = []
+            for row, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                last: list = []
                 for earlier, far, at, first in sorted(((p["from"], p["pos"] - p["was"], p["pos"], p["first_doc_id"]) for p in places), key=lambda x: x[:3]):
-                    if groups and groups[-1][:2] == [earlier, far] and at - groups[-1][3][-1] <= 2 * margin:
-                        groups[-1][3].append(at)
+                    if last[:2] == [earlier, far] and at - last[2][-1] <= 2 * margin:
+                        last[2].append(at)
                     else:
-                        groups.append([earlier, far, first, [at]])
-                for earlier, far, first, found in groups:
-                    low = max(0, found[0] - 31 - margin)
-                    out.append((row, earlier, far, first, found, low, len(raw), raw[low : found[-1] + 1 + margin]))
-            types = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)], ["row", "from", "far", "first_doc_id", "found", "low", "size", "part"])
+                        last = [earlier, far, [at]]
+                        out.append((row, earlier, far, first, last[2]))
+            types = [pa.int64()] * 4 + [pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)], ["row", "from", "far", "first_doc_id", "found"])
 
     return run
 
 
-def _in_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of what _segments() gives, with the earlier text: how far each place repeats it; open, if further than the segment."""
-    for batch in slices(batches):
-        out = []
-        for row, earlier, far, first, found, low, size, part, two in zip(*(c.to_pylist() for c in batch.columns[:-1]), bytes_of(batch, "earlier"), strict=True):
-            a, b, reached = np.frombuffer(part, np.uint8), np.frombuffer(two, np.uint8), -1
-            for pos in found:
-                at, was = pos - low, pos - far
-                if pos < reached or part[at - 31 : at + 1] != two[was - 31 : was + 1]:
-                    continue
-                start, end = at + 1 - _same(a[at::-1], b[was::-1]), at + _same(a[at:], b[was:])
-                wide = (start == 0 and low > 0 and low > far) or (end == len(part) and low + end < min(size, len(two) + far))
-                reached = low + end
-                out.append((row, first, low + start, low + end, earlier, far, wide))
-        types = [pa.int64()] * 6 + [pa.bool_()]
-        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)], ["row", "first_doc_id", "start", "end", "from", "far", "wide"])
-
-
-def _merged(min_words: int):
+def _compared(min_words: int):
+    """Of rows (doc_id, body, groups): the spans that repeat."""
+
+    def whole(raw: bytes, group: dict) -> Iterator[tuple[int, int, int | None]]:
+        a, b, away, reached = np.frombuffer(raw, np.uint8), np.frombuffer(group["part"], np.uint8), group["far"] + group["low"], -1
+        for pos in group["found"]:
+            was = pos - away
+            if pos >= reached and raw[pos - 31 : pos + 1] == group["part"][was - 31 : was + 1]:
+                reached = pos + _same(a[pos:], b[was:])
+                yield pos + 1 - _same(a[pos::-1], b[was::-1]), reached, group["first_doc_id"]
+
+    def merged(raw: bytes, parts: Iterable[tuple[int, int, int | None]]) -> Iterator[tuple]:
+        spans: list[list] = []
+        for start, end, first in sorted(parts, key=lambda p: p[:2]):
+            if spans and start <= spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], end)
+            else:
+                spans.append([start, end, 0, Counter()])
+            spans[-1][2] += 1
+            spans[-1][3][first] += end - start
+        for start, end, n, firsts in spans:
+            while start < end and raw[start] & 0xC0 == 0x80:  # whole characters only
+                start += 1
+            while start < end < len(raw) and raw[end] & 0xC0 == 0x80:
+                end -= 1
+            words = len(WORDS.findall(raw[start:end].decode("utf-8", "replace")))
+            if words >= min_words:
+                yield start, end, words, n, min(firsts, key=lambda x: (-firsts[x], x is not None, x or 0))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            out = []
-            for name, parts, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bytes_of(batch, "body"), strict=True):
-                spans: list[list] = []
-                for p in sorted(parts, key=lambda p: (p["start"], p["end"])):
-                    if spans and p["start"] <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], p["end"])
-                    else:
-                        spans.append([p["start"], p["end"], 0, Counter()])
-                    spans[-1][2] += 1
-                    spans[-1][3][p["first_doc_id"]] += p["end"] - p["start"]
-                for start, end, n, firsts in spans:
-                    while start < end and raw[start] & 0xC0 == 0x80:  # whole characters only
-                        start += 1
-                    while start < end < len(raw) and raw[end] & 0xC0 == 0x80:
-                        end -= 1
-                    words = len(WORDS.findall(raw[start:end].decode("utf-8", "replace")))
-                    if words >= min_words:
-                        out.append((name, start, end, words, n, min(firsts, key=lambda x: (-firsts[x], x is not None, x or 0))))
+        for batch in slices(batches, 100):
+            out = [(name, *span) for name, raw, groups in zip(batch.column(0).to_pylist(), bytes_of(batch, "body"), batch.column(2).to_pylist(), strict=True) for span in merged(raw, (x for g in groups for x in whole(raw, g)))]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(6)], ["doc_id", "start", "end", "words", "chunks", "first_doc_id"])
 
     return run
 
 
-def passages(docs: DataFrame, min_words: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def passages(docs: DataFrame, min_words: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, start, end, words, chunks, first_doc_id): like repeats(), but each match is extended byte by byte.
 
     Each anchor of a text meets the first place of its 32 bytes, in the order of (doc_id, row, place), and the match is
     extended to left and right as far as both texts agree. Matches that touch are one span, `chunks` is how many; only
     then min_words counts, in words of WORDS. first_doc_id is the document of most matched bytes. What repeats on
-    95 bytes or more holds an anchor, so over 50 words always do. Rows are told apart by number, so ids may repeat.
+    95 bytes or more holds an anchor, so over 50 words always do. Rows are told apart by number, so ids may repeat or be
+    null; a null id stands before all others. Null and empty texts repeat nothing. Other columns are not looked at.
+
+    Texts are never joined to texts: of an earlier text, what lies around the places is cut out first. A match is
+    extended 95 + MARGIN bytes beyond its places at most. It would go on further only past other places whose first place
+    stands in yet another text, and those are matches of their own that touch it. As each place is compared with its first
+    place only, what agrees longer with a later one may lack under WINDOW bytes at an edge.
     """
     prepare(docs.sparkSession)
     rows = table(renamed(docs, {"doc_id": doc_id, "body": text}).select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "body").where("body is not null"), "cdc-rows")
@@ -246,33 +232,32 @@ def passages(docs: DataFrame, min_words: int = 20, doc_id: str = "doc_id", text:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of)), pa.array(place), pa.array(np.array(digests, np.uint64).view(np.int64))], ["row", "doc_id", "pos", "hash"])
 
     marks = table(rows.mapInArrow(run, "row bigint, doc_id bigint, pos bigint, hash bigint"), "cdc-anchors")
+    often = table(marks.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "cdc-often")
+    shared = table(marks.join(often, "hash"), "cdc-shared")
+    drop_table(marks)
+    drop_table(often)
     at = F.struct("doc_id", "row", "pos")
-    first = table(marks.groupBy("hash").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select("hash", "first"), "cdc-first")
-    later = marks.join(first, "hash").where(at > F.col("first"))
+    first = table(shared.groupBy("hash").agg(F.min(at).alias("first")), "cdc-first")
+    later = shared.join(first, "hash").where(at > F.col("first"))
     places = later.groupBy("row").agg(F.collect_list(F.struct("pos", F.col("first.row").alias("from"), F.col("first.pos").alias("was"), F.col("first.doc_id").alias("first_doc_id"))).alias("places"))
-    places = table(places, "cdc-places")
-    drop_table(marks)
+    groups = table(places.mapInArrow(_groups(MARGIN), FOUND), "cdc-groups")
+    drop_table(shared)
     drop_table(first)
-    near = places.join(rows.select("row", "body"), "row").select("row", "places", "body")
-    near = table(near.mapInArrow(_segments(MARGIN), "row bigint, from bigint, far bigint, first_doc_id bigint, found array<bigint>, low bigint, size bigint, part binary"), "cdc-segments")
-    drop_table(places)
-    bodies = rows.select(F.col("row").alias("from"), F.col("body").alias("earlier"))
-    met = near.join(bodies, "from").select("row", "from", "far", "first_doc_id", "found", "low", "size", "part", "earlier")
-    parts = table(met.mapInArrow(_in_segments, "row bigint, first_doc_id bigint, start bigint, end bigint, from bigint, far bigint, wide boolean"), "cdc-parts")
-    drop_table(near)
-    open_at = F.collect_list(F.struct((F.col("start") + 31).alias("pos"), (F.col("start") + 31 - F.col("far")).alias("was"))).alias("places")
-    wide = parts.where("wide").groupBy("row", "from", "first_doc_id").agg(open_at).join(rows.select("row", "body"), "row").join(bodies, "from")
-    wide = table(wide.select("row", "first_doc_id", "places", "body", "earlier").mapInArrow(_extended, "row bigint, first_doc_id bigint, start bigint, end bigint"), "cdc-wide")
-    parts = parts.where("not wide").select("row", "first_doc_id", "start", "end").union(wide)
-    spans = parts.groupBy("row").agg(F.collect_list(F.struct("start", "end", "first_doc_id")).alias("parts")).join(rows, "row")
-    return spans.select("doc_id", "parts", "body").mapInArrow(_merged(min_words), "doc_id bigint, start bigint, end bigint, words bigint, chunks bigint, first_doc_id bigint")
-
-
-def remove(docs: DataFrame, min_words: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs less the spans that passages() finds; all rows and columns stay. Ids must be unique and not null."""
-    prepare(docs.sparkSession)
-    spans = passages(docs, min_words, doc_id, text).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cdc_spans")).withColumnRenamed("doc_id", "cdc_id")
-    joined = docs.join(spans, docs[f"`{doc_id}`"].cast("long") == F.col("cdc_id"), "left")
+    margin = MARGIN + 31 + WINDOW
+    low = F.greatest(F.lit(0), F.element_at("found", 1) - F.col("far") - 31 - margin)
+    asked = groups.withColumn("low", low).withColumn("high", F.element_at("found", -1) - F.col("far") + 1 + margin)
+    part = F.substr(F.col("body").cast("binary"), (F.col("low") + 1).cast("int"), (F.col("high") - F.col("low")).cast("int"))
+    cut = asked.join(rows.select(F.col("row").alias("from"), "body"), "from").select("row", F.struct("far", "first_doc_id", "found", "low", part.alias("part")).alias("group"))
+    met = cut.groupBy("row").agg(F.collect_list("group").alias("groups")).join(rows, "row").select("doc_id", "body", "groups")
+    return met.mapInArrow(_compared(min_words), "doc_id bigint, start bigint, end bigint, words bigint, chunks bigint, first_doc_id bigint")
+
+
+def remove(docs: DataFrame, min_words: int = 50, text: str = "text") -> DataFrame:
+    """docs less the spans that passages() finds; all rows and columns stay. Rows are told apart by number, so ids play no part:
+    what stands first in the table stays, and of repeated rows the first keeps its text. Null texts stay null."""
+    rows = table(docs.withColumn(ROW, F.monotonically_increasing_id()), "cdc-numbered")
+    spans = passages(rows, min_words, ROW, text).groupBy(F.col("doc_id").alias(ROW)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cdc__spans"))
+    joined = rows.join(spans, ROW, "left")
     names, at = docs.columns, docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,4 +276,4 @@ def remove(docs: DataFrame, min_words: int = 20, doc_id: str = "doc_id", text: s
             columns[at] = pa.array(out, pa.binary()).cast(batch.column(at).type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return joined.select(*[docs[f"`{c}`"] for c in docs.columns], "cdc_spans").mapInArrow(run, docs.schema)
+    return joined.select(*[rows[f"`{c}`"] for c in docs.columns], "cdc__spans").mapInArrow(run, docs.schema)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -12,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of rows that go to Python at once.
+ARROW_BYTES = 8 << 20
 #: Rows that a Python function works on at once.
 ARROW_ROWS = 500
 #: Paths of scratch tables that release() may delete.
@@ -21,7 +24,11 @@ _LOCAL = ""
 
 
 def prepare(spark: SparkSession) -> None:
-    """Lets Python workers import this package."""
+    """Lets Python workers import this package, and bounds the batches that they get by bytes, here and nowhere else. It
+    is a setting of the session, as plans are run after their operators return; a smaller one of the user's stays."""
+    given = re.fullmatch(r"(\d+)b?", spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"))
+    if given and not 0 < int(given[1]) <= ARROW_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{ARROW_BYTES}b")
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
@@ -50,7 +57,7 @@ def table(df: DataFrame, label: str, kept: bool = False) -> DataFrame:
     kept: release() leaves it."""
     spark = df.sparkSession
     path = scratch_path(spark, label, kept)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

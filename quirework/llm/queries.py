@@ -105,7 +105,7 @@ ORACLE["op4_warc_derivatives"] = _warc_sql()
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.passages(read(spark, sf_dir, "documents"), min_words=20)
+    return chunking.passages(read(spark, sf_dir, "documents"), min_words=50)
 
 
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -234,6 +234,43 @@ def test_substring_dedup_finds_whole_passages(spark, tmp_path, monkeypatch):
     assert all((r.first_doc_id == f) and a - 9 <= r.start <= a and b <= r.end <= b + 9 for i, (f, a, b) in want.items() for r in [found[i]])
 
 
+def test_passages_against_brute_force(spark):
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choices("abcdeé", k=rng.randint(1, 7)))
+    make = lambda n: " ".join(word() for _ in range(n))
+    shared = [make(n) for n in (12, 20, 40, 51, 90)]
+    rows = []
+    for i in range(60):
+        parts = [make(rng.randint(0, 40)) for _ in range(3)] + rng.sample(shared, 2)
+        rng.shuffle(parts)
+        rows.append(("\n" if i % 3 else " ").join(parts))
+    rows += [rows[3], rows[3].replace("a", "b", 3), "x " * 400, "", shared[4] * 3]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)] + [(None, None)], "doc_id long, text string")
+
+    def repeated(least):  # bytes of runs of so many bytes that occur earlier
+        seen, out = set(), []
+        for t in rows:
+            raw, hit = t.encode(), set()
+            for k in range(len(raw) - least + 1):
+                if raw[k : k + least] in seen:
+                    hit |= set(range(k, k + least))
+                seen.add(raw[k : k + least])
+            out.append(hit)
+        return out
+
+    found = [set() for _ in rows]
+    for r in chunking.passages(df, min_words=1).collect():
+        found[r.doc_id] |= set(range(r.start, r.end))
+    some, sure = repeated(32), repeated(95)
+    for i in range(len(rows)):
+        missed = sorted(sure[i] - found[i])
+        assert found[i] <= some[i] and not any(b - a == chunking.WINDOW - 1 for a, b in zip(missed, missed[chunking.WINDOW - 1 :], strict=False)), i
+    assert sum(map(len, found)) >= 0.98 * sum(map(len, sure)) > 10_000
+    many = df.union(df).union(spark.createDataFrame([(None, rows[5])] * 2, df.schema)).repartition(1)
+    gone = [r.text for r in chunking.remove(many).collect()]
+    assert len(gone) == 2 * len(rows) + 4 and sum(t == rows[5] for t in gone) <= 1 and sum(t is None for t in gone) == 2
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(400)] + [(i, [0.5] * 8) for i in range(400, 460)]
