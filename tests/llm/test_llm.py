@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on a small fixture with nulls, ties, repeats and clashing columns."""
 
 import hashlib
+import itertools
 import math
 import random
 import zlib
@@ -380,6 +381,33 @@ def test_secrets(spark, empty):
     assert secretscan.scan(empty, forest).count() == 0
 
 
+def brute_tree(texts, depth=5):
+    """log10 probability of a text by the suffix tree, with dictionaries."""
+    line = lambda raw: b"\n" * depth + b"".join(w + b" " for w in raw.lower().split()) + b"\n"
+    counts = {}
+    for raw in texts:
+        b = line(raw)
+        for i in range(depth, len(b)):
+            for d in range(depth + 1):
+                counts.setdefault(b[i - d : i], Counter())[b[i]] += 1
+    states = {b""}
+    for ctx, own in counts.items():
+        if ctx:
+            total, up = sum(own.values()), counts[ctx[1:]]
+            gain = sum(n * math.log(n / total / (up[x] / sum(up.values()))) for x, n in own.items())
+            if total >= 4 and gain >= 0.5 * len(own) * math.log(total) + 2:
+                states.add(ctx)
+
+    def probability(ctx, x):
+        if ctx and ctx not in states:
+            return probability(ctx[1:], x)
+        below = probability(ctx[1:], x) if ctx else 1 / 256
+        own = counts.get(ctx, Counter())
+        return (own[x] + len(own) * below) / (sum(own.values()) + len(own)) if own else below
+
+    return lambda raw: sum(math.log10(probability(b[i - depth : i], b[i])) for b in [line(raw)] for i in range(depth, len(b)))
+
+
 def test_lm(spark, docs, texts, empty):
     got = {r.doc_id: r for r in pst.score(docs, frequent=10).collect()}
     counts = Counter()
@@ -393,5 +421,13 @@ def test_lm(spark, docs, texts, empty):
         r = got[i]
         assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (len(w), sum(counts[x] > 0 for x in w), n, zlib.crc32(str(i).encode()) % 7 == 2)
         assert abs(r.base_score - sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w)) < 1e-6 and r.score < 0
+    want = brute_tree([(t or "").encode() for i, t in texts if zlib.crc32(str(i).encode()) % 7 != 2])
+    many = {r.doc_id: r for r in pst.score(docs.union(docs), frequent=10, shard_rows=300).collect()}
+    twice = brute_tree([(t or "").encode() for i, t in texts if zlib.crc32(str(i).encode()) % 7 != 2] * 2)
+    for i, t in texts:
+        raw = (t or "").encode()
+        assert abs(got[i].score - want(raw)) < 1e-4 * (1 + abs(want(raw))) and abs(many[i].score - twice(raw)) < 1e-4 * (1 + abs(twice(raw))), i
+    short = [bytes(x) for n in range(3) for x in itertools.product(b"then", repeat=n)]
+    assert 0 < sum(10 ** want(x) for x in short) < 1
     assert sum(r.score for r in got.values()) > sum(r.base_score for r in got.values()) - 0.31 * sum(r.n_tokens for r in got.values())
     assert pst.score(empty).count() == 0
