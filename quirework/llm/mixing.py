@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 
 from quirework.llm.common import renamed, table, word_count
 
-#: Blocks of one source ranked in one window, about.
-RANKED = 2_000
 #: Sources whose shares are drawn in one fold.
 FOLDED = 1000
 
@@ -91,11 +89,12 @@ def _shares(parts: str, total: str, drawn: str, seed: int) -> Column:
 
 
 def tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
-    """(src, lefts) of each source of quotas (src, q): how many of its blocks go left at each inner node of the tree.
+    """(src, q, lefts) of each source of quotas (src, q): how many of its blocks go left at each inner node of the tree.
 
     Nodes are numbered as in a heap, from 1. shards is a power of two. Shards differ by one block at most. Sources are
     held in groups of FOLDED: a node's draw is shared among groups first, and then within each.
     """
+    quotas = table(quotas, "mix-quotas")
     rows = quotas.groupBy(F.floor(F.col("src") / FOLDED).cast("int").alias("grp")).agg(F.array_sort(F.collect_list(F.struct(F.col("src").cast("int").alias("id"), F.col("q").cast("long").alias("q")))).alias("parts")).withColumn("node", F.lit(1))
     split = []
     for level in range(shards.bit_length() - 1):
@@ -108,21 +107,22 @@ def tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
         side = lambda keep: F.transform("parts", lambda p: F.struct(p["id"].alias("id"), keep(p).alias("q")))
         rows = rows.select("grp", F.explode(F.array(F.struct((F.col("node") * 2).alias("node"), side(lambda p: p["x"]).alias("parts")), F.struct((F.col("node") * 2 + 1).alias("node"), side(lambda p: p["q"] - p["x"]).alias("parts")))).alias("c")).select("grp", "c.node", "c.parts")
     if not split:
-        return quotas.select("src", F.array(F.lit(0).cast("long")).alias("lefts"))
-    return reduce(DataFrame.unionByName, split).groupBy("src").agg(F.transform(F.array_sort(F.collect_list(F.struct("node", "x"))), lambda s: s["x"]).alias("lefts"))
+        return quotas.select("src", "q", F.array(F.lit(0).cast("long")).alias("lefts"))
+    lefts = reduce(DataFrame.unionByName, split).groupBy("src").agg(F.transform(F.array_sort(F.collect_list(F.struct("node", "x"))), lambda s: s["x"]).alias("lefts"))
+    return quotas.join(lefts, "src")
 
 
-def shard_of(lefts: Column, place: Column, depth: int) -> Column:
-    """The shard at which a block ends that walks down the tree from its place among its source's drawn blocks."""
-    if not depth:
-        return F.lit(0)
+def shard_of(lefts: Column, quota: Column, place: Column, depth: int) -> Column:
+    """The shard at which a block ends that walks down the tree from its place in its source's permutation; null for what
+    lies beyond the quota, which no shard draws."""
 
     def down(state: Column, _: Column) -> Column:
         left = F.element_at(lefts, state["node"])
         return F.struct((state["node"] * 2 + F.when(state["at"] < left, 0).otherwise(1)).cast("int").alias("node"), (state["at"] - F.when(state["at"] < left, 0).otherwise(left)).cast("long").alias("at"))
 
     start = F.struct(F.lit(1).alias("node"), place.cast("long").alias("at"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), start, down)["node"] - F.lit(1 << depth)
+    leaf = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), start, down)["node"] - F.lit(1 << depth) if depth else F.lit(0)
+    return F.when(place < quota, leaf)
 
 
 def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -132,7 +132,8 @@ def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
 
 
 def draw(sizes: DataFrame, aims: DataFrame, block: int | None = 512, shards: int = 16, seed: int = 7) -> DataFrame:
-    """The mix: one row (row, src, epoch, block, words, shard, place) for each drawn block; a table.
+    """The mix: one row (row, src, epoch, block, words, at, shard, place) for each block that a shard draws; a table. at is
+    its place in its source's permutation.
 
     sizes is what sized() gives, aims what targets() gives. block: words in a block, the last of a document may be
     shorter; None: whole documents. Within a shard, blocks stand in the order of place. The words drawn from a source
@@ -143,35 +144,36 @@ def draw(sizes: DataFrame, aims: DataFrame, block: int | None = 512, shards: int
     """
     if shards & (shards - 1):
         raise ValueError("shards must be a power of two")
-    rows = sizes.join(aims.withColumnRenamed("source", "of"), sizes.source.eqNullSafe(F.col("of"))).where("size > 0 and target > 0")
+    of_size = F.ceil(F.col("size") / block).cast("long") if block else F.when(F.col("size") > 0, 1).otherwise(0).cast("long")
+    blocks = sizes.groupBy(F.col("source").alias("named")).agg(F.sum(of_size).alias("blocks"))
+    aims = aims.join(blocks, F.col("source").eqNullSafe(F.col("named"))).withColumnRenamed("source", "of")
+    rows = sizes.join(aims, sizes.source.eqNullSafe(F.col("of"))).where("size > 0 and target > 0")
     words = F.least(F.lit(block), F.col("size") - F.col("block") * F.lit(block)).cast("long") if block else F.col("size")
-    last = F.floor((F.col("size") - 1) / block).cast("int") if block else F.lit(0)
-    cut = rows.select("row", "doc_id", "src", "source_size", "target", "size", F.explode(F.sequence(F.lit(0), last)).alias("block"))
+    cut = rows.select("row", "doc_id", "src", "source_size", "target", "size", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), of_size - 1)).alias("block"))
     rounds = cut.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("target") / F.col("source_size")).cast("int") - 1))))
-    blocks, size = sizes.agg(F.sum(F.ceil(F.col("size") / block) if block else F.lit(1)), F.sum("size")).first()
-    buckets = F.ceil(F.col("source_size") * F.lit(float(blocks or 0) / max(1, int(size or 0)) / RANKED)).cast("int")
-    rounds = rounds.select("row", "src", "epoch", "block", F.greatest(F.lit(1), buckets).alias("buckets"), words.alias("words"), (F.col("target") - F.col("epoch") * F.col("source_size")).alias("aim"), F.xxhash64(F.lit(seed), "epoch", "doc_id", "src", "size", "block").alias("key"))
-    rounds = rounds.withColumn("bucket", F.pmod(F.shiftright("key", 20), F.col("buckets")).cast("int"))
+    # As many buckets as blocks in each, so that neither a window over a bucket nor one over buckets holds a source.
+    bucket = F.pmod(F.shiftright("key", 20), F.ceil(F.sqrt("blocks")).cast("int")).cast("int")
+    key = F.xxhash64(F.lit(seed), "epoch", "doc_id", "src", "size", "block")
+    rounds = rounds.select("row", "src", "epoch", F.col("block").cast("int").alias("block"), "blocks", words.alias("words"), (F.col("target") - F.col("epoch") * F.col("source_size")).alias("aim"), key.alias("key")).withColumn("bucket", bucket)
     held = ["src", "epoch", "bucket"]
     counts = table(rounds.groupBy(*held).agg(F.count("*").alias("n"), F.sum("words").alias("w")), "mix-buckets")
     before = W.partitionBy("src", "epoch").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(*held, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"), F.coalesce(F.sum("w").over(before), F.lit(0)).alias("w0"))
-    epoch0 = counts.groupBy("src").agg(F.sum(F.when(F.col("epoch") == 0, F.col("n"))).alias("whole"))
-    offsets = offsets.join(epoch0, "src").withColumn("n0", F.col("n0") + F.col("epoch") * F.col("whole")).drop("whole")
     inside = W.partitionBy(*held).orderBy("key", "row", "block")
-    ranked = rounds.withColumn("i", F.row_number().over(inside) - 1).withColumn("upto", F.sum("words").over(inside.rowsBetween(W.unboundedPreceding, 0)))
-    ranked = ranked.join(offsets, held).where(F.col("w0") + F.col("upto") - F.col("words") / 2 <= F.col("aim"))
-    drawn = table(ranked.select("row", "src", "epoch", "block", "words", "key", (F.col("n0") + F.col("i")).alias("at")), "mix-drawn")
-    paths = table(tree(drawn.groupBy("src").agg(F.count("*").alias("q")), shards, seed), "mix-tree")
-    walked = drawn.join(paths, "src")
-    return walked.select("row", "src", "epoch", "block", "words", shard_of(F.col("lefts"), F.col("at"), shards.bit_length() - 1).alias("shard"), F.xxhash64(F.lit(seed), F.lit("place"), "key", "row").alias("place"))
+    ranked = rounds.withColumn("i", F.row_number().over(inside) - 1).withColumn("upto", F.sum("words").over(inside.rowsBetween(W.unboundedPreceding, 0))).join(offsets, held)
+    ranked = table(ranked.select("row", "src", "epoch", "block", "words", "key", (F.col("epoch") * F.col("blocks") + F.col("n0") + F.col("i")).alias("at"), (F.col("w0") + F.col("upto") - F.col("words") / 2 <= F.col("aim")).alias("due")), "mix-ranked")
+    quotas = ranked.where("due").groupBy("src").agg(F.count("*").alias("q"))
+    paths = table(tree(quotas, shards, seed), "mix-tree")
+    walked = ranked.join(paths, "src").withColumn("shard", shard_of(F.col("lefts"), F.col("q"), F.col("at"), shards.bit_length() - 1)).where("shard is not null")
+    return table(walked.select("row", "src", "epoch", "block", "words", "at", "shard", F.xxhash64(F.lit(seed), F.lit("place"), "key", "row").alias("place")), "mix-drawn")
 
 
 def taken(sizes: DataFrame, aims: DataFrame, drawn: DataFrame) -> DataFrame:
-    """(row, doc_id, size, source_size, target, taken) of each row: the words that the mix takes of it, repeats counted."""
-    sums = drawn.groupBy("row").agg(F.sum("words").alias("taken"))
+    """(row, doc_id, size, source_size, target, taken, shards) of each row: the words that all shards take of it, repeats
+    counted, and the shards, in order."""
+    sums = drawn.groupBy("row").agg(F.sum("words").alias("taken"), F.array_sort(F.collect_set("shard")).alias("shards"))
     rows = sizes.join(aims.withColumnRenamed("source", "of"), sizes.source.eqNullSafe(F.col("of"))).join(sums, "row", "left")
-    return rows.select("row", "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+    return rows.select("row", "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), F.coalesce("shards", F.array().cast("array<int>")).alias("shards"))
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, share: float = 1.5, cap: float = 2.0, shards: int = 16, seed: int = 7, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -186,5 +188,4 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, share: float = 1.5, c
     sizes = table(named.select("row", "doc_id", "source", word_count(F.col("body")).alias("size")), "mix-sizes")
     aims = table(targets(sizes, cycled(sizes) if weights is None else weights, share, cap), "mix-aims")
     drawn = draw(sizes, aims, None, shards, seed).select(F.col("row").alias("mix__row"), F.col("shard").alias("mix__shard"), F.col("place").alias("mix__place"))
-    drawn = table(drawn, "mix-chosen")
     return rows.join(drawn, "mix__row").sortWithinPartitions("mix__shard", "mix__place").select(*[rows[f"`{c}`"] for c in docs.columns])

@@ -123,7 +123,7 @@ select query_id, cast(rank as integer) as rank, vec_id, score from r where rank
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = mixing.sized(read(spark, sf_dir, "documents"))
     aims = table(mixing.targets(sizes, mixing.cycled(sizes, (5, 2, 1)), share=1.5, cap=2.0), "mix-aims")
-    return mixing.taken(sizes, aims, mixing.draw(sizes, aims)).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.taken(sizes, aims, mixing.draw(sizes, aims)).select("doc_id", "size", "source_size", "target", "taken", F.array_join("shards", ",").alias("shards"))
 
 
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:

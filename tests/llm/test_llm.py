@@ -305,12 +305,29 @@ def test_mix(spark, docs, texts, empty):
     counts = drawn.groupby("shard").size()
     assert counts.max() - counts.min() <= 1 and len(counts) == 8
     assert not drawn.duplicated(["row", "epoch", "block"]).any()
+    for _, own in drawn.groupby("src"):  # each shard has a run of the permutation, and the runs are all of the quota
+        assert sorted(own["at"]) == list(range(len(own))) and own.sort_values("at").shard.is_monotonic_increasing
+    assert {r.row: list(r.shards) for r in rows.itertuples() if len(r.shards)} == {k: sorted(set(v.shard)) for k, v in drawn.groupby("row")}
+    assert drawn.groupby("row").words.sum().to_dict() == {r.row: r.taken for r in rows.itertuples() if r.taken}
     assert run()[1].sort_values("row").taken.tolist() == rows.sort_values("row").taken.tolist()
     assert mixing.mix(empty).count() == 0
     mixed = mixing.mix(docs)
     assert mixed.columns == docs.columns and max(Counter(r.doc_id for r in mixed.collect()).values()) <= 2
 
 
+def test_tree_draws_hypergeometric_shares(spark):
+    q = {0: 40, 1: 25, 2: 0, 3: 15}
+    quotas = spark.createDataFrame([(k, n) for k, n in q.items() if n], "src int, q long")
+    seen = []
+    for seed in range(12):
+        lefts = {r.src: r.lefts for r in mixing.tree(quotas, 4, seed).collect()}
+        sums = [sum(lefts[k][node] for k in lefts) for node in range(3)]
+        assert sums == [40, 20, 20] and all(0 <= lefts[k][0] <= q[k] and lefts[k][1] <= lefts[k][0] and lefts[k][2] <= q[k] - lefts[k][0] for k in lefts)
+        seen.append(lefts[0][0])
+    spread = math.sqrt(40 * 0.5 * 0.5 * 40 / 79)  # of a hypergeometric draw of 40 of 80, 40 marked
+    assert abs(sum(seen) / 12 - 20) < 4 * spread / math.sqrt(12) and len(set(seen)) > 2
+
+
 def test_mix_of_rows_without_an_id(spark):
     rows = [(None, f"t{i} " * 20, "s", i) for i in range(30)]
     mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, n int")).collect()
