@@ -2,10 +2,13 @@
 
 log P(l | all) = TEMPER * log P(text | l) + log P(declared | l) + log P(suffix | l) + log P(l | host) + const.
 
-The text's likelihood is of its byte trigrams, hashed, under a model counted from labelled texts. Once each text has its
+The text's likelihood is of its byte trigrams, hashed, under models counted from labelled texts, one for each label there
+is. A language's distribution is mixed, in a fixed share, with that of all labelled texts, and that with one that is alike
+for all trigrams; so what a model gives to trigrams that it has not seen does not depend on how much it has seen. Once each text has its
 likelihoods, what texts alone say is counted by declared language, by address suffix and by host; a host's
 distribution is smoothed towards its domain's, and that towards the distribution of all. One more class, "und", gives
-all trigrams alike and a low probability: what fits no language falls there.
+all trigrams alike and a low probability, above what languages give to trigrams that no label has: what fits no language
+falls there.
 """
 
 from __future__ import annotations
@@ -24,12 +27,14 @@ from quirework.llm.common import bytes_of, prepare, renamed, slices, table
 BUCKETS = 1 << 16
 #: Neighbouring trigrams share bytes, so their evidence counts for less than its sum.
 TEMPER = 0.3
-#: Probability of any trigram of no language, as a share of one that is alike for all buckets.
+#: Share of all labelled texts in a language's distribution, and of the flat distribution in that of all texts.
+SHARED, FLAT = 0.1, 0.01
+#: Probability of any trigram of no language, as a share of the flat one; above SHARED * FLAT.
 ALIEN = 0.05
 #: Pseudo-counts of each level's parent.
 PARENT = 10.0
-#: Most languages told apart; those of the most labels.
-LANGUAGES = 64
+#: Languages whose models are broadcast together, 64 MB; more take more passes.
+TOGETHER = 256
 
 
 def trigrams(raw: bytes) -> np.ndarray:
@@ -46,47 +51,63 @@ def tag(declared: Column) -> Column:
 
 
 class Model:
-    """log P(trigram | language), and of no language last."""
-
-    def __init__(self, languages: list[str], counts: np.ndarray):
-        smooth = counts + 0.5
-        self.languages = languages
-        logs = np.log(smooth / smooth.sum(axis=1, keepdims=True))
-        self.logs = np.concatenate((logs, np.full((1, BUCKETS), np.log(ALIEN / BUCKETS)))).T.copy()
-
-    def likelihoods(self, raw: bytes) -> tuple[int, np.ndarray]:
-        found = trigrams(raw)
-        total = np.zeros(self.logs.shape[1])
-        for at in range(0, len(found), 1 << 18):
-            total += self.logs[found[at : at + (1 << 18)]].sum(axis=0)
-        return len(found), total
-
-
-def train(labelled: DataFrame, text: str = "text", label: str = "lang", least: int = 5) -> Model:
-    """Counts trigrams by label over all rows of a known label. Labels of under `least` rows teach nothing; nor do null
-    labels and texts. The driver holds BUCKETS counts for each of at most LANGUAGES languages."""
-    spark = labelled.sparkSession
-    prepare(spark)
+    """Trigram counts of all languages, as a table (lang, bucket, n), and of all labelled texts."""
+
+    def __init__(self, languages: list[str], counts: DataFrame | None, totals: dict[int, int], whole: np.ndarray):
+        self.languages, self.counts, self.totals = languages, counts, totals
+        self.common = (1 - FLAT) * whole / max(1, whole.sum()) + FLAT / BUCKETS
+
+    def parts(self) -> Iterator[np.ndarray]:
+        """log P(trigram | language) of the languages in order, TOGETHER at a time; of no language last."""
+        for first in range(0, len(self.languages), TOGETHER):
+            some = range(first, min(first + TOGETHER, len(self.languages)))
+            counts = np.zeros((len(some), BUCKETS))
+            got = self.counts.where(F.col("lang").between(some[0], some[-1])).toArrow()
+            counts[got["lang"].to_numpy() - first, got["bucket"].to_numpy()] = got["n"].to_numpy()
+            own = counts / np.array([[self.totals[i]] for i in some])
+            yield np.log((1 - SHARED) * own + SHARED * self.common).astype(np.float32).T.copy()
+        yield np.full((BUCKETS, 1), np.log(ALIEN / BUCKETS), np.float32)
+
+
+def likelihoods(logs: np.ndarray, raw: bytes) -> tuple[int, np.ndarray]:
+    """(trigrams of a text, log P(text | language) by the columns of logs)."""
+    found = trigrams(raw)
+    total = np.zeros(logs.shape[1])
+    step = max(1, (1 << 22) // logs.shape[1])
+    for at in range(0, len(found), step):
+        total += logs[found[at : at + step]].sum(axis=0, dtype=np.float64)
+    return len(found), total
+
+
+def train(labelled: DataFrame, text: str = "text", label: str = "lang") -> Model:
+    """Counts trigrams by label over all rows of a known label, however few it has. Null labels and texts teach nothing, nor do
+    labels whose texts have no trigram."""
+    prepare(labelled.sparkSession)
     rows = renamed(labelled, {"body": text, "label": label}).select("body", tag(F.col("label")).alias("label")).where("label is not null and body is not null")
-    found = rows.groupBy("label").count().where(F.col("count") >= least).orderBy(F.desc("count"), "label").limit(LANGUAGES).collect()
-    languages = sorted(r["label"] for r in found)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((len(languages), BUCKETS), np.int64)
-        place = {l: i for i, l in enumerate(languages)}
+        sums: dict[str, np.ndarray] = {}
+
+        def handed() -> Iterator[pa.RecordBatch]:
+            for name, own in sums.items():
+                some = np.flatnonzero(own)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), pa.array(some.astype(np.int32)), pa.array(own[some])], ["label", "bucket", "n"])
+            sums.clear()
+
         for batch in slices(batches):
             for raw, name in zip(bytes_of(batch, "body"), batch.column(1).to_pylist(), strict=True):
-                if name in place:
-                    sums[place[name]] += np.bincount(trigrams(raw), minlength=BUCKETS)
-        for i in range(len(languages)):
-            some = np.flatnonzero(sums[i])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), i, np.int32)), pa.array(some.astype(np.int32)), pa.array(sums[i][some])], ["lang", "bucket", "n"])
+                sums[name] = sums.get(name, 0) + np.bincount(trigrams(raw), minlength=BUCKETS)
+            if len(sums) > TOGETHER // 4:
+                yield from handed()
+        yield from handed()
 
-    counts = np.zeros((len(languages), BUCKETS))
-    if languages:
-        got = rows.mapInArrow(count, "lang int, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-        counts[got["lang"].to_numpy(), got["bucket"].to_numpy()] = got["n"].to_numpy()
-    return Model(languages, counts)
+    counts = table(rows.mapInArrow(count, "label string, bucket int, n bigint").groupBy("label", "bucket").agg(F.sum("n").alias("n")), "lid-counts")
+    found = sorted(map(tuple, counts.groupBy("label").agg(F.sum("n")).collect()))
+    whole = np.zeros(BUCKETS)
+    got = counts.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    whole[got["bucket"].to_numpy()] = got["n"].to_numpy()
+    names = labelled.sparkSession.createDataFrame([(i, x) for i, (x, _) in enumerate(found)], "lang int, label string")
+    return Model([x for x, _ in found], counts.join(F.broadcast(names), "label").select("lang", "bucket", "n"), {i: n for i, (_, n) in enumerate(found)}, whole)
 
 
 def host_parts(url: Column) -> tuple[Column, Column, Column]:
@@ -105,25 +126,39 @@ def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host
 
     Rejected: rows whose best class is "und" or of a confidence under min_confidence, and rows without a trigram
     (null, empty or blank texts), whose lid_lang is "und". Null or unknown declared languages are evidence of their own
-    kind ("none", "other"); a null host is the host "". A model of under about 600,000 trigrams a language gives unseen
-    ones more than "und" does, so nothing of a text falls there. Columns of rows under the added names are replaced. Ties go to
-    the language that sorts first.
+    kind ("none", "other"); a null host is the host "". Columns of rows under the added names are replaced. Ties go to
+    the language that sorts first. A model of no language rejects all.
     """
     spark = rows.sparkSession
     prepare(spark)
     names, n = model.languages, len(model.languages)
     added = ["lid_lang", "lid_confidence", "lid_text", "lid_declared", "lid_host", "lid_accepted"]
     base = rows.select(*[rows[f"`{c}`"] for c in rows.columns if c not in added], F.coalesce(text, F.lit("")).alias("lid__body"), tag(declared).alias("lid__tag"), F.coalesce(host, F.lit("")).alias("lid_host"), F.coalesce(domain, F.lit("")).alias("lid__domain"), F.coalesce(suffix, F.lit("")).alias("lid__suffix"))
-    shared = spark.sparkContext.broadcast(model)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = [shared.value.likelihoods(raw) for raw in bytes_of(batch, "lid__body")]
-            keep = [i for i, c in enumerate(batch.schema.names) if c != "lid__body"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in keep], pa.array([g for g, _ in found], pa.int64()), pa.array([x for _, x in found], pa.list_(pa.float64()))], [*[batch.schema.names[i] for i in keep], "lid__n", "lid__ll"])
 
-    schema = T.StructType([*[f for f in base.schema.fields if f.name != "lid__body"], T.StructField("lid__n", T.LongType()), T.StructField("lid__ll", T.ArrayType(T.DoubleType()))])
-    scored = base.mapInArrow(score, schema)
+    def scores(shared, last: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches):
+                found = [likelihoods(shared.value, raw) for raw in bytes_of(batch, "lid__body")]
+                given = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
+                before = given.pop("lid__ll").to_pylist()
+                if last:
+                    del given["lid__body"]
+                given["lid__n"] = pa.array([k for k, _ in found], pa.int64())
+                given["lid__ll"] = pa.array([[*old, *new.tolist()] for old, (_, new) in zip(before, found, strict=True)], pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays(list(given.values()), list(given))
+
+        return run
+
+    scored = base.withColumn("lid__n", F.lit(0).cast("long")).withColumn("lid__ll", F.array().cast("array<double>"))
+    parts = list(model.parts())
+    parts[-2:] = [np.concatenate(parts[-2:], axis=1)]
+    for i, logs in enumerate(parts):
+        last = i == len(parts) - 1
+        fields = [f for f in scored.schema.fields if f.name not in ("lid__n", "lid__ll") and not (last and f.name == "lid__body")]
+        schema = T.StructType([*fields, T.StructField("lid__n", T.LongType()), T.StructField("lid__ll", T.ArrayType(T.DoubleType()))])
+        scored = scored.mapInArrow(scores(spark.sparkContext.broadcast(logs), last), schema)
+        if not last:
+            scored = table(scored, "lid-scored")
     known = F.when(F.col("lid__tag").isNull(), F.lit("none")).when(F.col("lid__tag").isin(names), F.col("lid__tag")).otherwise(F.lit("other")) if names else F.lit("other")
     guess = F.when(F.col("lid__n") > 0, F.array_position("lid__ll", F.array_max("lid__ll")) - 1).otherwise(F.lit(n)).cast("int")
     scored = table(scored.withColumn("lid_declared", known).withColumn("lid__guess", guess).drop("lid__tag"), "lid-text")
@@ -148,9 +183,9 @@ def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host
     prior = F.array(*[_logs(F.col(f"c{i}"), F.col("t"), of_domain[i]) for i in range(n)], F.lit(float(np.log(1e-3))))
     hosts = table(hosts.join(suffixes, "lid__suffix").select("lid__suffix", F.col("lid_host"), "lid__domain", F.zip_with(prior, F.col("sx"), lambda a, b: a + b).alias("lid__prior")), "lid-priors")
     keys = ["lid_host", "lid__domain", "lid__suffix"]
-    declared_logs = F.create_map(*[x for d, logs in told.items() for x in (F.lit(d), F.array(*map(F.lit, logs)))])[F.col("lid_declared")]
-    joined = scored.join(hosts, keys)
-    joined = joined.withColumn("lid__post", F.zip_with(F.zip_with(F.transform("lid__ll", lambda x: x * F.lit(TEMPER)), "lid__prior", lambda a, b: a + b), declared_logs, lambda a, b: a + b))
+    tags = spark.createDataFrame(list(told.items()), "lid_declared string, lid__told array<double>")  # one row a language
+    joined = scored.join(hosts, keys).join(F.broadcast(tags), "lid_declared")
+    joined = joined.withColumn("lid__post", F.zip_with(F.zip_with(F.transform("lid__ll", lambda x: x * F.lit(TEMPER)), "lid__prior", lambda a, b: a + b), "lid__told", lambda a, b: a + b))
     joined = joined.withColumn("lid__top", F.array_max("lid__post")).withColumn("lid__best", F.array_position("lid__post", F.col("lid__top")).cast("int"))
     label = F.array(*map(F.lit, [*names, "und"]))
     some = F.col("lid__n") > 0
