@@ -135,8 +135,10 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    forest = secretscan.train(secretscan.labelled_findings(spark))
-    found = secretscan.scan(read(spark, sf_dir, "documents"), forest)
+    docs = read(spark, sf_dir, "documents")
+    lexicon = secretscan.lexicon(docs)
+    forest = secretscan.train(secretscan.labelled_findings(spark, lexicon), lexicon)
+    found = secretscan.scan(docs, forest, lexicon)
     return found.select("doc_id", "place", F.length("candidate").alias("length"), F.sha2("candidate", 256).alias("candidate_sha256"), F.round("score", 6).alias("score"), "secret")
 
 
