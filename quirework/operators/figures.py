@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quirework.functions import text as T
 from quirework.operators.library import is_junk_label
-from quirework.operators.structure import own, renumber
-from quirework.session import workers_import
+from quirework.operators.structure import back, own, renumber
 
 CAPTION = "^图\\s*([0-9]+)\\s*[-－]\\s*([0-9]+)\\s*(.*)$"
 IMAGE = "^!\\[[^\\]]*\\]\\(images/([^)\\s]+)\\)$"
@@ -22,15 +20,22 @@ def caption_text(line: Column) -> Column:
     return T.sub(T.sub(T.strip(line), "^\\*\\*", ""), "\\*\\*$", "")
 
 
-def marked(lines: DataFrame) -> DataFrame:
-    """lines with cap (fig key of a caption), title, image (name) and the next and previous full lines."""
-    c, cap = F.col("line"), caption_text(F.col("line"))
+def captions(lines: DataFrame) -> DataFrame:
+    """lines with cap (fig key of a caption) and title."""
+    cap = caption_text(F.col("line"))
     key = F.when(cap.rlike(CAPTION), F.concat(F.lit("fig"), F.regexp_extract(cap, CAPTION, 1), F.lit("-"), F.regexp_extract(cap, CAPTION, 2)))
+    return lines.withColumn("cap", key).withColumn("title", T.sub(T.strip(F.regexp_extract(cap, CAPTION, 3)), "\\s+", " "))
+
+
+def marked(lines: DataFrame) -> DataFrame:
+    """captions() with image (name), the next and previous full lines, and the nearest captions."""
+    c = F.col("line")
     full = F.when(T.strip(c) != "", T.strip(c))
-    rows = lines.withColumn("cap", key).withColumn("title", T.sub(T.strip(F.regexp_extract(cap, CAPTION, 3)), "\\s+", " ")).withColumn("image", F.when(c.rlike(IMAGE), F.regexp_extract(c, IMAGE, 1)))
-    above, below = own().rowsBetween(W.unboundedPreceding, -1), own().rowsBetween(1, W.unboundedFollowing)
+    rows = captions(lines).withColumn("image", F.when(c.rlike(IMAGE), F.regexp_extract(c, IMAGE, 1)))
+    above, below = own().rowsBetween(W.unboundedPreceding, -1), back().rowsBetween(W.unboundedPreceding, -1)
     at = F.when(F.col("cap").isNotNull(), F.col("line_no"))
-    return rows.withColumn("prev", F.last(full, True).over(above)).withColumn("next", F.first(full, True).over(below)).withColumn("cap_above", F.last(at, True).over(above)).withColumn("cap_below", F.first(at, True).over(below))
+    down = rows.withColumn("prev", F.last(full, True).over(above)).withColumn("cap_above", F.last(at, True).over(above))
+    return down.withColumn("next", F.last(full, True).over(below)).withColumn("cap_below", F.last(at, True).over(below)).withColumn("key_below", F.last("cap", True).over(below))
 
 
 def junk_reasons(lines: DataFrame, files: DataFrame, radius: int = 15, least: int = 7000) -> DataFrame:
@@ -43,28 +48,22 @@ def junk_reasons(lines: DataFrame, files: DataFrame, radius: int = 15, least: in
 
 
 def junk_cascade(lines: DataFrame, files: DataFrame, radius: int = 15, least: int = 7000) -> DataFrame:
-    """As junk_reasons(), with the signature rule over what is left: lines already removed are passed over. One pass
-    from top to bottom over each book's full lines; a book is one group."""
-    workers_import(lines.sparkSession)
-    facts = marked(lines).join(files.select("book", F.col("name").alias("image"), "size"), ["book", "image"], "left")
-    near = F.coalesce((F.col("line_no") - F.col("cap_above") <= radius) | (F.col("cap_below") - F.col("line_no") <= radius), F.lit(False))
-    facts = facts.where(T.strip(F.col("line")) != "").select("book", "line_no", F.col("line").rlike(HASHED).alias("hashed"), is_junk_label(F.col("line")).alias("label"), T.strip(F.col("line")).rlike(SIGNED).alias("signed"), F.when(is_junk_label(F.col("next")), F.concat(F.lit("label:"), "next")).when(F.col("next").rlike("^#{1,6}\\s*思考题"), "before-exercises").alias("first"), F.when(~near, "no-caption").when(F.coalesce("size", F.lit(0)) < least, "small").alias("later"))
+    """As junk_reasons(), with the signature rule over what is left: lines already removed are passed over.
 
-    def walk(book: pd.DataFrame) -> pd.DataFrame:
-        out, signed, dropping = [], False, False
-        for r in book.sort_values("line_no").itertuples():
-            if r.label and dropping:
-                continue  # blanked with the image before it
-            dropping = False
-            reason = (r.first or ("after-signature" if signed else None) or r.later) if r.hashed else None
-            if reason:
-                out.append((r.book, r.line_no, reason))
-                dropping = reason.startswith("label:")
-            else:
-                signed = bool(r.signed)
-        return pd.DataFrame(out, columns=["book", "line_no", "reason"])
-
-    return facts.groupBy("book").applyInPandas(walk, "book string, line_no int, reason string")
+    An image that goes leaves the line before it in force, and one that stays is no signature and had none before it, so
+    images never change what stands before the next: that is the nearest other full line, less the labels
+    that go with an image before them. All of it is windows.
+    """
+    rows = marked(lines).join(files.select("book", F.col("name").alias("image"), "size"), ["book", "image"], "left")
+    above = own().rowsBetween(W.unboundedPreceding, -1)
+    t, next_label = T.strip(F.col("line")), is_junk_label(F.col("next"))
+    hashed, label = F.col("line").rlike(HASHED), is_junk_label(F.col("line"))
+    near = F.coalesce((F.col("line_no") - F.col("cap_above") <= radius) | (F.col("cap_below") - F.col("line_no") <= radius), F.lit(False))
+    full = rows.where(t != "").select("book", "line_no", "next", "size", hashed.alias("hashed"), label.alias("label"), t.rlike(SIGNED).alias("signed"), near.alias("near"), F.coalesce(next_label, F.lit(False)).alias("labelled"))
+    full = full.withColumn("dropped", F.col("label") & F.coalesce(F.last(F.when(~F.col("label"), F.col("hashed") & F.col("labelled")), True).over(above), F.lit(False)))
+    full = full.withColumn("after", F.coalesce(F.last(F.when(~F.col("hashed") & ~F.col("dropped"), F.col("signed")), True).over(above), F.lit(False)))
+    reason = F.when(F.col("labelled"), F.concat(F.lit("label:"), "next")).when(F.col("next").rlike("^#{1,6}\\s*思考题"), "before-exercises").when(F.col("after"), "after-signature").when(~F.col("near"), "no-caption").when(F.coalesce("size", F.lit(0)) < least, "small")
+    return full.where("hashed").withColumn("reason", reason).where("reason is not null").select("book", "line_no", "reason")
 
 
 def panel(line: Column) -> Column:
@@ -74,7 +73,7 @@ def panel(line: Column) -> Column:
 
 
 def owners(lines: DataFrame) -> DataFrame:
-    """(book, line_no, image, owner): the caption line each image belongs to.
+    """(book, line_no, image, owner, owner_cap): the caption line each image belongs to, and its key.
 
     A placeholder of the caption below, between the two, decides; else the only caption; else the one below unless the
     one above is nearer, stands right before the image, and the image's panel number goes on from the last image's
@@ -82,33 +81,32 @@ def owners(lines: DataFrame) -> DataFrame:
     """
     rows = marked(lines)
     above = own().rowsBetween(W.unboundedPreceding, -1)
-    ahead = own().rowsBetween(0, W.unboundedFollowing)
-    rows = rows.withColumn("key_below", F.first("cap", True).over(own().rowsBetween(1, W.unboundedFollowing)))
     mark = F.regexp_extract(T.strip(F.col("line")), "^\\[(fig[0-9]+-[0-9]+)\\]$", 1)
-    rows = rows.withColumn("mark_at", F.first(F.when(mark != "", F.struct(F.col("line_no").alias("at"), mark.alias("key"))), True).over(ahead))
+    rows = rows.withColumn("key_above", F.last("cap", True).over(above))
+    rows = rows.withColumn("mark_at", F.last(F.when(mark != "", F.struct(F.col("line_no").alias("at"), mark.alias("key"))), True).over(back().rowsBetween(W.unboundedPreceding, 0)))
     rows = rows.withColumn("panel", F.when(F.col("image").isNotNull(), panel(F.col("next")))).withColumn("after_caption", F.last(F.when(T.strip(F.col("line")) != "", F.struct(F.col("cap").isNotNull().alias("c"), F.col("line_no").alias("n"))), True).over(above))
     rows = rows.withColumn("last_panel", F.last(F.when(F.col("image").isNotNull(), F.struct(F.col("panel").alias("p"))), True).over(above))
     rows = rows.where("image is not null")
     placed = (F.col("mark_at.key") == F.col("key_below")) & (F.col("mark_at.at") <= F.col("cap_below"))
     goes_on = (F.col("line_no") - F.col("cap_above") < F.col("cap_below") - F.col("line_no")) & F.col("after_caption.c") & (F.col("panel") == F.col("last_panel.p") + 1)
     owner = F.when(F.coalesce(placed, F.lit(False)), F.col("cap_below")).when(F.col("cap_above").isNull(), F.col("cap_below")).when(F.col("cap_below").isNull(), F.col("cap_above")).when(F.coalesce(goes_on, F.lit(False)), F.col("cap_above")).otherwise(F.col("cap_below"))
-    return rows.withColumn("owner", owner).where("owner is not null").select("book", "line_no", "image", "owner")
+    cap = F.when(F.col("owner") == F.col("cap_below"), F.col("key_below")).otherwise(F.col("key_above"))
+    return rows.withColumn("owner", owner).where("owner is not null").select("book", "line_no", "image", "owner", cap.alias("owner_cap"))
 
 
 def named(lines: DataFrame) -> DataFrame:
     """(book, line_no, image, target): figX-Y.ext for a caption's first image, -a, -b ... for the next ones."""
-    caps = marked(lines).where("cap is not null").select("book", F.col("line_no").alias("owner"), "cap")
     k = F.row_number().over(W.partitionBy("book", "owner").orderBy("line_no")) - 1
     ext = F.coalesce(F.nullif(F.regexp_extract("image", "\\.(\\w+)$", 1), F.lit("")), F.lit("jpg"))
-    rows = owners(lines).join(caps, ["book", "owner"]).withColumn("k", k)
-    return rows.select("book", "line_no", "image", F.concat("cap", F.when(F.col("k") > 0, F.concat(F.lit("-"), F.char(F.col("k") + 96))).otherwise(""), F.lit("."), ext).alias("target"))
+    rows = owners(lines).withColumn("k", k)
+    return rows.select("book", "line_no", "image", F.concat("owner_cap", F.when(F.col("k") > 0, F.concat(F.lit("-"), F.char(F.col("k") + 96))).otherwise(""), F.lit("."), ext).alias("target"))
 
 
 def finish_captions(lines: DataFrame, placeholder: str = "[{}]") -> DataFrame:
     """Captions in bold; above one without an image a placeholder, unless the nearest full line of the three above is
     it."""
     own_caps = owners(lines).select("book", F.col("owner").alias("line_no")).distinct().withColumn("owned", F.lit(True))
-    rows = marked(lines).join(own_caps, ["book", "line_no"], "left")
+    rows = captions(lines).join(own_caps, ["book", "line_no"], "left")
     a, b = placeholder.split("{}")
     mark = F.concat(F.lit(a), "cap", F.lit(b))
     full = F.last(F.when(T.strip(F.col("line")) != "", T.strip(F.col("line"))), True).over(own().rowsBetween(-3, -1))
@@ -132,7 +130,7 @@ def blocks(lines: DataFrame, ahead: int = 12) -> DataFrame:
     caption = "^图\\s*[0-9]+-[0-9]+[A-Z]?\\s*[　 \\u2003\\u2002\\t]+(.+)$"
     kind = F.when(F.col("t").startswith("!["), "END").when(F.col("t").rlike(caption), "FIG").when(F.col("t") == "视频", "VIDEO").when(F.col("t").isin("本章思维导图", "本章数字资源"), "MINDMAP").when(F.col("t").startswith("数字人"), "NUMHUMAN").when(F.col("t").startswith("#"), "FRONT")
     told = rows.withColumn("kind", kind).withColumn("n", F.row_number().over(own())).select("book", "line_no", "t", "kind", "n")
-    first = told.withColumn("found", F.first(F.when(F.col("kind").isNotNull(), F.struct("n", "kind", "t")), True).over(own().rowsBetween(1, W.unboundedFollowing))).select("book", F.col("line_no").alias("last"), F.col("n").alias("at"), "found")
+    first = told.withColumn("found", F.last(F.when(F.col("kind").isNotNull(), F.struct("n", "kind", "t")), True).over(back().rowsBetween(W.unboundedPreceding, -1))).select("book", F.col("line_no").alias("last"), F.col("n").alias("at"), "found")
     out = runs.join(first, ["book", "last"])
     ok = (F.col("found.n") - F.col("at") <= ahead) & (F.col("found.kind") != "END")
     return out.select("book", "line_no", "images", F.when(F.coalesce(ok, F.lit(False)), F.col("found.kind")).otherwise("FRONT").alias("kind"), F.when(F.coalesce(ok, F.lit(False)) & (F.col("found.kind") == "FIG"), F.col("found.t")).alias("caption"))

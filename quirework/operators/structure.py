@@ -16,6 +16,11 @@ def own():
     return W.partitionBy("book").orderBy("line_no")
 
 
+def back():
+    """From the last line to the first: what is nearest below is last in it, so no frame has to be evaluated anew for each line."""
+    return W.partitionBy("book").orderBy(F.desc("line_no"))
+
+
 def so_far():
     return own().rowsBetween(W.unboundedPreceding, 0)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quirework.functions import text as T
-from quirework.operators.structure import own, renumber
+from quirework.operators.structure import back, own, renumber
 from quirework.session import workers_import
 
 
@@ -22,9 +23,8 @@ def cells(html: Column, span_only: bool = False) -> Column:
     return F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, cell, F.lit(0)), lambda x: F.struct(T.cell_text(T.sub(T.sub(x, "^<t[dh][^>]*>", ""), "</t[dh]>$", "")).alias("txt"), number(x, "rowspan").alias("rs"), number(x, "colspan").alias("cs"))))
 
 
-def grid(rows: list) -> list[list[str]]:
-    """Rows of (txt, rs, cs) as a rectangle: a cell takes the next free columns; what a span covers is empty."""
-    out: list[list[str]] = []
+def _layout(rows: list) -> Iterator[tuple[dict[int, str], int]]:
+    """Of each row of (txt, rs, cs): its texts by column, and the column after the last that it or a cell from above holds."""
     covered: dict[int, int] = {}
     for row in rows:
         line: dict[int, str] = dict.fromkeys(covered, "")
@@ -34,14 +34,19 @@ def grid(rows: list) -> list[list[str]]:
             while at in line:
                 at += 1
             for k in range(cell["cs"]):
-                line[at + k] = "" if k else cell["txt"]
+                line[at + k] = "" if k else cell.get("txt") or ""
                 if cell["rs"] > 1:
                     below[at + k] = cell["rs"] - 1
             at += cell["cs"]
-        out.append([line.get(c, "") for c in range(max(line, default=-1) + 1)])
+        yield line, max(line, default=-1) + 1
         covered = below
-    width = max(map(len, out), default=0)
-    return [r + [""] * (width - len(r)) for r in out]
+
+
+def grid(rows: list) -> list[list[str]]:
+    """Rows of (txt, rs, cs) as a rectangle: a cell takes the next free columns; what a span covers is empty."""
+    found = list(_layout(rows))
+    width = max((reach for _, reach in found), default=0)
+    return [[line.get(c, "") for c in range(width)] for line, _ in found]
 
 
 def expand(tables: DataFrame, rows: str = "rows", out: str = "grid") -> DataFrame:
@@ -70,36 +75,28 @@ def row_spans(line: Column) -> Column:
 
 def html_widths(lines: DataFrame) -> DataFrame:
     """(book, table_no, line_no, width, expected): rows of HTML tables whose width, spans from above counted, is not
-    the first row's; an empty table gives one row with nulls. Table tags stand alone on lines, a row on one line."""
-    workers_import(lines.sparkSession)
+    the first row's; an empty table gives one row with nulls. Table tags stand alone on lines, a row on one line.
+
+    A row's width is that of the row that grid_widths() gives: one table, as far as its rows go, is one array.
+    """
     c = T.strip(F.col("line"))
     rows = lines.withColumn("table_no", F.sum((c == "<table>").cast("int")).over(own())).withColumn("ends", F.sum((c == "</table>").cast("int")).over(own()))
     inside = rows.where((F.col("table_no") > F.col("ends")) & ((c == "<table>") | F.col("line").contains("<tr")))
     packed = inside.groupBy("book", "table_no").agg(F.min("line_no").alias("start"), F.array_sort(F.collect_list(F.when(c != "<table>", F.struct("line_no", row_spans(F.col("line")).alias("cells"))))).alias("rows"))
+    measured = packed.withColumn("widths", grid_widths(F.transform("rows", lambda r: r["cells"])))
+    each = measured.select("book", "table_no", "start", F.col("widths")[0].alias("expected"), F.explode_outer(F.arrays_zip(F.transform("rows", lambda r: r["line_no"]).alias("at"), F.col("widths").alias("width"))).alias("r"))
+    empty = F.col("r").isNull()
+    return each.where(empty | (F.col("r.width") != F.col("expected"))).select("book", "table_no", F.coalesce("r.at", "start").alias("line_no"), F.col("r.width").alias("width"), F.when(~empty, F.col("expected")).alias("expected"))
+
+
+def grid_widths(rows: Column) -> Column:
+    """How far right each row of (cs, rs) of a table reaches, cells from above counted, by the layout of grid()."""
+
+    @F.pandas_udf("array<int>")
+    def each(column: pd.Series) -> pd.Series:
+        return column.map(lambda t: [reach for _, reach in _layout(json.loads(t))])
 
-    def check(batch):
-        for part in batch:
-            out = []
-            for t in part.itertuples():
-                if not len(t.rows):
-                    out.append((t.book, t.table_no, t.start, None, None))
-                    continue
-                expected, pending = sum(x["cs"] for x in t.rows[0]["cells"]), {}
-                for r in t.rows:
-                    at, fresh = 0, {}
-                    for x in r["cells"]:
-                        while at in pending or at in fresh:
-                            at += 1
-                        if x["rs"] > 1:
-                            fresh |= {k: x["rs"] - 1 for k in range(at, at + x["cs"])}
-                        at += x["cs"]
-                    width = max([at, *(k + 1 for k in pending)])
-                    if width != expected:
-                        out.append((t.book, t.table_no, r["line_no"], width, expected))
-                    pending = {k: n - 1 for k, n in pending.items() if n > 1} | fresh
-            yield pd.DataFrame(out, columns=["book", "table_no", "line_no", "width", "expected"]).astype({"width": "Int32", "expected": "Int32"})
-
-    return packed.mapInPandas(check, "book string, table_no bigint, line_no int, width int, expected int")
+    return each(F.to_json(rows))
 
 
 def columns_of(line: Column) -> Column:
@@ -123,8 +120,7 @@ def title_blocks(lines: DataFrame, titles: DataFrame) -> DataFrame:
     c = T.strip(F.col("line"))
     rows = lines.withColumn("pipe", F.col("line").startswith("|")).withColumn("island", F.sum((~F.col("line").startswith("|")).cast("int")).over(own()))
     rows = rows.withColumn("t", c).withColumn("full", F.when(c != "", F.struct("line_no", "pipe")))
-    after = own().rowsBetween(1, W.unboundedFollowing)
-    rows = rows.withColumn("n1", F.first("full", True).over(after))
+    rows = rows.withColumn("n1", F.last("full", True).over(back().rowsBetween(W.unboundedPreceding, -1)))
     second = rows.where("full is not null").withColumn("n2", F.lead("full").over(own())).select("book", F.col("line_no").alias("m"), "n2")
     hits = rows.join(titles, "book").where(F.col("t").startswith(F.col("title"))).withColumn("hits", F.count("*").over(W.partitionBy("book", "title"))).where("hits = 1")
     hits = hits.join(second.withColumnRenamed("book", "b2"), (F.col("b2") == F.col("book")) & (F.col("m") == F.col("n1.line_no")), "left")

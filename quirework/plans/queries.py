@@ -20,19 +20,23 @@ ORACLE: dict[str, str] = {}
 
 NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-#: Lines of 50 books: headings of all kinds, blanks, captions, images and open or closed text.
+#: Lines of books of some 2,000 lines, more books where there are more rows: headings of all kinds, blanks, captions, images and open or closed text.
 BOOK_LINES = """select book, cast(line_no as int) as line_no, case kind
  when 0 then concat('# 第',num,'章　T',n)  when 1 then concat('## 第',num,'节 | S',n) when 2 then concat('## ',num,'、A',n)
  when 3 then concat('## （',num,'）B',n)   when 4 then concat('## ',n,'. C',n)       when 5 then concat('## 【D',n,'】')
  when 6 then ''                            when 7 then concat('图',n,'-',kk,' cap')   when 8 then concat('![](images/',md5(cast(pk as varchar(20))),'.jpg)')
  else concat('p',pk,case when n%3=0 then '，' when n%3=1 then '。' else '分为' end) end as line
-from (select concat('b',cast(l_orderkey%50 as varchar(20))) as book,
-  row_number() over (partition by l_orderkey%50 order by l_orderkey,l_linenumber,l_partkey,l_suppkey,l_extendedprice) as line_no,
+from (select concat('b',cast(cast(floor(l_orderkey/500) as int) as varchar(20))) as book,
+  row_number() over (partition by floor(l_orderkey/500) order by l_orderkey,l_linenumber,l_partkey,l_suppkey,l_extendedprice) as line_no,
   (l_partkey*7+l_linenumber)%10 as kind, substring('一二三四五六七八九十', cast(1+l_suppkey%10 as int),1) as num,
   l_suppkey%9+1 as n, l_linenumber as kk, l_partkey as pk from {lineitem}) q"""
 NOTATION = """select o_orderkey, concat('Na+ pNa+ HCO3- ',cast(o_custkey%30 as varchar(9)),':',cast(o_orderkey%70 as varchar(9)),' SO4 2- ',cast(o_orderkey%5 as varchar(9)),'x',cast(o_custkey%7 as varchar(9)),'，<sub>',cast(o_orderkey%10 as varchar(9)),'</sub>') as t from {orders}"""
-IMAGES = "select concat('b',cast(p_partkey%50 as varchar(20))) as book, concat(md5(cast(p_partkey as varchar(20))),'.jpg') as name, cast(p_size*500 as bigint) as size from {part}"
-PARAS = "select doc_id as para_no, source as book, case when doc_id%3=0 then concat('# ',text) when doc_id%3=1 then replace(substring(text,1,60),'e','é') else substring(text,5,60) end as para from {documents}"
+IMAGES = "select distinct concat('b',cast(cast(floor(l_orderkey/500) as int) as varchar(20))) as book, concat(md5(cast(l_partkey as varchar(20))),'.jpg') as name, cast(l_partkey%50*500 as bigint) as size from {lineitem} where l_linenumber <= 3"
+#: All lines of all documents as paragraphs, some as headings, some with variant characters; and one over each two documents of a source.
+PARAS = """select * from (select doc_id*100000+i as para_no, book, case when i%5=4 then concat('# ',line) when doc_id%3=1 then replace(line,'e','é') else line end as para from (select doc_id, source as book, {split}) p
+ union all select doc_id*100000+99999, book, concat(right(text,40),' ',left(nx,30)) from (select doc_id, source as book, text, lead(text) over (partition by source order by doc_id) as nx from {documents}) d where nx is not null) q"""
+PARAS_HERE = PARAS.replace("{split}", "i, line from {documents} lateral view posexplode(split(text, '\\\\n')) x as i, line")
+PARAS = PARAS.replace("{split}", "unnest(range(0,len(string_split(text,chr(10))))) as i, unnest(string_split(text,chr(10))) as line from {documents}")
 TASKS = "select o_orderkey as task, concat('batch',cast(o_custkey%20 as varchar(9))) as batch, concat('f',cast(o_orderkey%40 as varchar(9))) as data_id from {orders}"
 RESULTS = "select event_id as rid, concat('batch',cast(user_id%20 as varchar(9))) as batch, concat('f',cast(event_id%50 as varchar(9))) as data_id, case when event_type='purchase' then 'done' when event_type='error' then 'error' else 'running' end as state from {events}"
 PIPES = "select concat('t',cast(n_regionkey as varchar(3))) as book, cast(row_number() over (partition by n_regionkey order by k, n_nationkey) as int) as line_no, line from (select n_regionkey, 0 as k, -1 as n_nationkey, '| h | g |' as line from {nation} group by n_regionkey union all select n_regionkey, 1, -1, '|---|---|' from {nation} group by n_regionkey union all select n_regionkey, 2, n_nationkey, case when n_nationkey%4=0 then concat('| ',n_name,' | a |') when n_nationkey%4=1 then concat('| ',n_name,' |') else concat('|',n_name,'|b|') end from {nation}) q"
@@ -240,9 +244,9 @@ def fl3_junk(spark, sf_dir):
     return rows.select("o_orderkey", library.is_junk_label(F.col("t")).alias("junk"))
 
 
-@query(f"with l as {LINES}, m as (select *, min(case when regexp_matches(line, '^#\\s*第[一二三四五六七八九十百]+章') then line_no end) over (partition by book) as f, max(case when regexp_matches(line, '^图\\s*[0-9]+\\s*[-－]\\s*[0-9]+') then 1 else 0 end) over (partition by book order by line_no rows between 1 following and 3 following) as near from l) select book, line_no, case when regexp_matches(line, '^!\\[') and line_no < f and coalesce(near, 0) = 0 then '' else line end as line from m where line_no <= 40")
+@query(f"with l as {LINES}, m as (select *, min(case when regexp_matches(line, '^#\\s*第[一二三四五六七八九十百]+章') then line_no end) over (partition by book) as f, max(case when regexp_matches(line, '^图\\s*[0-9]+\\s*[-－]\\s*[0-9]+') then 1 else 0 end) over (partition by book order by line_no rows between 1 following and 3 following) as near from l) select book, line_no, case when regexp_matches(line, '^!\\[') and line_no < f and coalesce(near, 0) = 0 then '' else line end as line from m")
 def fl7_front_images(spark, sf_dir):
-    return structure.front_images(book_lines(spark, sf_dir)).where("line_no <= 40")
+    return structure.front_images(book_lines(spark, sf_dir))
 
 
 REFS = f"(select book, line_no, regexp_extract(line, 'images/([^)\\s]+)', 1) as name from {LINES} where regexp_matches(line, '^!\\['))"
@@ -329,7 +333,7 @@ o as (select book, line_no, regexp_extract(line, 'images/([^)\\s]+)', 1) as imag
 
 @query(f"{OWNERS} select * from o where owner is not null")
 def fg3_owner(spark, sf_dir):
-    return figures.owners(book_lines(spark, sf_dir))
+    return figures.owners(book_lines(spark, sf_dir)).drop("owner_cap")
 
 
 @query(f"{OWNERS}, t as (select o.book, o.line_no, o.image, regexp_extract(l.line, '^图\\s*([0-9]+)', 1) as x, regexp_extract(l.line, '^图\\s*[0-9]+-([0-9]+)', 1) as y, row_number() over (partition by o.book, o.owner order by o.line_no) - 1 as k from o join l on o.book = l.book and o.owner = l.line_no) select book, line_no, image, concat('fig', x, '-', y, case when k > 0 then concat('-', chr(cast(96 + k as int))) else '' end, '.jpg') as target from t")
@@ -407,12 +411,12 @@ def tb11_replace_sub(spark, sf_dir):
 
 def _audit_sql(folds: tuple) -> str:
     body, page = (f"regexp_replace({_fold_sql(c, folds)}, '\\s+', '', 'g')" for c in ("para", "text"))
-    return f"with p as (select *, {body} as body from ({PARAS}) q where trim(para) <> '' and not regexp_matches(para, '^\\s*(#{{1,6}}\\s|\\||- \\[)')), g as (select source as book, {page} as page from documents) select para_no, book from p where len(body) >= 8 and not exists (select 1 from g where g.book = p.book and contains(g.page, p.body))"
+    return f"with p as (select *, {body} as body from ({PARAS}) q where trim(para) <> '' and not regexp_matches(para, '^\\s*(#{{1,6}}\\s|\\||- \\[)')), g as (select source as book, string_agg({page}, '' order by doc_id) as page from documents group by 1) select p.para_no, p.book from p left join g on g.book = p.book where len(p.body) >= 8 and not coalesce(contains(g.page, p.body), false)"
 
 
 def _audit(spark, sf_dir, fold) -> DataFrame:
-    pages = read(spark, sf_dir, "documents").select(F.col("source").alias("book"), F.col("text").alias("page"))
-    return audit.contained(here(spark, sf_dir, PARAS), pages, fold)[1].select("para_no", "book")
+    pages = read(spark, sf_dir, "documents").select(F.col("source").alias("book"), F.col("doc_id").alias("page_no"), F.col("text").alias("page"))
+    return audit.contained(here(spark, sf_dir, PARAS_HERE), pages, fold)[1].select("para_no", "book")
 
 
 @query(_audit_sql(rules.STRICT_FOLDS))

@@ -168,3 +168,45 @@ def test_backfill_covers_whole_texts(spark, tmp_path):
             status, fixed = audit.repair(p, page)
             want.append((i, k, status, hashlib.md5(fixed.encode()).hexdigest()))
     assert got == want and len(got) == 360 and sum(r[2] == "fixed" for r in got) > 100
+
+
+def test_audit_over_pages(spark):
+    rng = random.Random(9)
+    page = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(n))
+    pages = {b: [page(rng.choice([0, 3, 50, 5000])) for _ in range(12)] for b in "xy"}
+    whole = {b: "".join(p) for b, p in pages.items()}
+    asked = [(b, rng.randrange(len(whole[b]) - 9000), rng.choice([8, 12, 60, 300, 9000])) for b in "xy" for _ in range(60)]
+    paras = [(b, i, whole[b][at : at + n]) for i, (b, at, n) in enumerate(asked)]
+    paras += [(b, i + 500, p[: len(p) // 2] + "错" + p[len(p) // 2 + 1 :]) for b, i, p in paras] + [("z", 2000, paras[0][2]), ("x", 2001, None), ("x", 2002, "")]
+    df = spark.createDataFrame(paras, "book string, para_no long, para string")
+    hits, misses = audit.contained(df, spark.createDataFrame([(b, i, p) for b, ps in pages.items() for i, p in enumerate(ps)], "book string, page_no int, page string"))
+    inside = {i for b, i, p in paras if p and b in whole and p in whole[b]}
+    assert {r.para_no for r in hits.collect()} == inside and len(inside) == 120
+    assert {r.para_no for r in misses.collect()} == {i for _, i, p in paras if p} - inside
+
+
+def test_cascade_against_walk(spark):
+    rng = random.Random(5)
+    kinds = ["（张三）", f"![](images/{'a' * 16}.jpg)", f"![](images/{'b' * 16}.jpg)", "视频", "课件", "text", "图1-1 cap", "", "## 思考题"]
+    books = {f"b{k}": [rng.choice(kinds) for _ in range(rng.randint(1, 25))] for k in range(80)}
+    df = spark.createDataFrame([(b, i, t) for b, ts in books.items() for i, t in enumerate(ts)], "book string, line_no int, line string")
+    files_ = spark.createDataFrame([(b, "a" * 16 + ".jpg", 9000) for b in books], "book string, name string, size long")
+    want = set()
+    for b, ts in books.items():
+        left = list(enumerate(ts))
+        at = 0
+        while at < len(left):
+            i, t = left[at]
+            after = [x for x in ts[i + 1 :] if x]
+            if t.startswith("!["):
+                before = [x for _, x in left[:at] if x]
+                near = any(abs(i - j) <= 15 and x.startswith("图") for j, x in enumerate(ts))
+                why = "label:" + after[0] if after and after[0] in ("视频", "课件") else "before-exercises" if after and after[0].startswith("##") else "after-signature" if before and before[-1].startswith("（") else "no-caption" if not near else "small" if "bbb" in t else None
+                if why:
+                    want.add((b, i, why))
+                    left.pop(at)
+                    while why.startswith("label") and at < len(left) and left[at][1] in ("视频", "课件", ""):
+                        left.pop(at)
+                    continue
+            at += 1
+    assert set(map(tuple, figures.junk_cascade(df, files_).collect())) == want
