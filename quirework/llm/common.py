@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import re
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -17,6 +20,10 @@ from pyspark.sql import functions as F
 ARROW_BYTES = 8 << 20
 #: Rows that a Python function works on at once.
 ARROW_ROWS = 500
+#: Ids that are broadcast, 32 MB of them.
+BROADCAST = 4_000_000
+#: What cached() holds.
+_KEPT: dict = {}
 #: Paths of scratch tables that release() may delete.
 _SCRATCH: list[str] = []
 #: The local folder of scratch tables, once one is made.
@@ -36,10 +43,28 @@ def prepare(spark: SparkSession) -> None:
 
 
 def slices(batches: Iterable[pa.RecordBatch], rows: int = ARROW_ROWS) -> Iterator[pa.RecordBatch]:
-    """Arrow batches in parts of at most so many rows. Spark bounds a batch by bytes; a part is what Python objects are made of."""
+    """Arrow batches in parts of at most so many rows. Spark bounds a batch by bytes; a part is what Python objects are made of.
+    At the end what is free goes back to the system, as workers live on and the next task may be another operator's."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not of all C libraries
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def cached(key: object, build: Callable[[], object]) -> object:
+    """What build() gives, kept in a worker from task to task until something else is asked for."""
+    if _KEPT.get("key") != key:
+        _KEPT.clear()
+        _KEPT.update(key=key, value=build())
+    return _KEPT["value"]
+
+
+def chosen(df: DataFrame, ids: DataFrame, name: str, how: str) -> DataFrame:
+    """df with (left_semi) or without (left_anti) the rows whose long column `name` is in ids, a small table. Up to
+    BROADCAST ids go to where df is; more than that are joined."""
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST else ids, name, how)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -83,6 +108,13 @@ def release(spark: SparkSession) -> None:
     written by then, and nothing reads its scratch tables again."""
     while _SCRATCH:
         _delete(spark, _SCRATCH.pop())
+    _collect(spark)
+
+
+def _collect(spark: SparkSession) -> None:
+    """Lets go of plans that nothing refers to, so that Spark deletes their shuffle files now and not when memory is short."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def drop_table(df: DataFrame) -> None:
@@ -91,6 +123,7 @@ def drop_table(df: DataFrame) -> None:
     for name in {os.path.dirname(f) for f in df.inputFiles()}:
         if "/quirework-" in name:
             _delete(spark, name)
+    _collect(spark)
 
 
 def bytes_of(batch: pa.RecordBatch, name: str) -> list[bytes]:

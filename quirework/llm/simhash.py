@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quirework.llm.common import bytes_of, drop_table, prepare, renamed, slices, table
+from quirework.llm.common import bytes_of, chosen, drop_table, prepare, renamed, slices, table
 from quirework.llm.components import connected_components
 
 SEED = 42
@@ -129,17 +129,24 @@ def _forest(fps: np.ndarray, reps: np.ndarray, radius: int) -> list[tuple[int, i
 
 def _verify(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = [np.empty(0, np.int64)] * 3
+        held: list[list[np.ndarray]] = []  # parts of the last cell, which may go on
         for batch in batches:
-            now = [np.concatenate((h, batch.column(k).to_numpy(zero_copy_only=False))) for k, h in enumerate(held)]
-            cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0  # the last cell may go on
-            yield _edges([x[:cut] for x in now], radius)
-            held = [x[cut:] for x in now]
-        yield _edges(held, radius)
+            now = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
+            if len(now[0]) and not (held and held[0][0][0] == now[0][-1]):
+                cut = int(np.searchsorted(now[0], now[0][-1]))
+                yield _edges(_joined([*held, [x[:cut] for x in now]]), radius)
+                held, now = [], [x[cut:] for x in now]
+            if len(now[0]):
+                held.append([x.copy() for x in now])
+        yield _edges(_joined(held), radius)
 
     return run
 
 
+def _joined(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    return [np.concatenate([np.empty(0, np.int64), *(p[k] for p in parts)]) for k in range(3)]
+
+
 def _edges(rows: list[np.ndarray], radius: int) -> pa.RecordBatch:
     cell, fps, reps = rows[0], rows[1].view(np.uint64), rows[2]
     starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else np.empty(0, np.int64)
@@ -305,7 +312,7 @@ def _rest(shared: DataFrame, centres: DataFrame, found: DataFrame, sets: DataFra
     dealt = others.join(cells_left, "cell").withColumn("block", F.pmod(F.xxhash64("rep", F.lit("block")), F.col("blocks")).cast("int"))
     both = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))).alias("at")
     dealt = table(dealt.select("cell", both, "block", "rep", "component").select("cell", "at.i", "at.j", "block", "rep", "component"), "set-dealt")
-    held = sets.join(dealt.select(F.col("rep").alias("row")).distinct(), "row", "left_semi").select(F.col("row").alias("rep"), "shingles")
+    held = chosen(sets, table(dealt.select(F.col("rep").alias("row")).distinct(), "set-left"), "row", "left_semi").select(F.col("row").alias("rep"), "shingles")
     rows = dealt.join(held, "rep").select("cell", "i", "j", "block", "rep", "component", "shingles")
     return rows.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j").mapInArrow(_compare(similarity), "a bigint, b bigint")
 
@@ -337,7 +344,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     pairs = table(near.select("rep", "centre").distinct(), "set-pairs")
     held = sets.select("row", "shingles")
     asked = pairs.select(F.col("rep").alias("row")).union(pairs.select("centre")).distinct()
-    held = table(held.join(asked, "row", "left_semi"), "set-held")
+    held = table(chosen(held, table(asked, "set-asked"), "row", "left_semi"), "set-held")
     both = pairs.join(held.select(F.col("row").alias("rep"), F.col("shingles").alias("x")), "rep").join(held.select(F.col("row").alias("centre"), F.col("shingles").alias("y")), "centre").select("rep", "centre", "x", "y")
     found = table(connected_components(table(both.mapInArrow(_alike(similarity), "a bigint, b bigint"), "set-edges")), "set-found")
     rest = table(_rest(shared, centres, found, sets, similarity), "set-rest")
@@ -357,4 +364,5 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     ids = rows.select(ROW, rows[f"`{doc_id}`"].cast("long").alias("id"))
     order = F.struct(F.col("id").isNull().alias("none"), "id", ROW)
     stays = table(found.join(ids, ROW).groupBy("component_id").agg(F.min(order).alias("least")).select(F.col(f"least.{ROW}").alias(ROW)), "dedup-stays")
-    return rows.join(stays, ROW, "left_semi").select(*[rows[f"`{c}`"] for c in docs.columns])
+    gone = table(ids.select(ROW).join(stays, ROW, "left_anti"), "dedup-gone")
+    return chosen(rows, gone, ROW, "left_anti").select(*[rows[f"`{c}`"] for c in docs.columns])

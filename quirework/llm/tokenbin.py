@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quirework.llm.common import prepare, renamed, slices
+from quirework.llm.common import cached, prepare, renamed, slices
 
 MAGIC = b"PFR1"
 BLOCK = 128
@@ -293,16 +293,9 @@ def _pieces(text: str) -> list[str]:
     return [*out, text[at:]]
 
 
-_ENCODERS: dict[int, Encoder] = {}
-
-
 def encoder(spec: str) -> Encoder:
     """One a worker, kept from task to task; it holds no more than REMEMBERED bytes of units."""
-    key = hash(spec)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(spec)
-    return _ENCODERS[key]
+    return cached(("encoder", hash(spec)), lambda: Encoder(spec))
 
 
 def _segments(shared, segment: int):
