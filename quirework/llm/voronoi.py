@@ -3,9 +3,9 @@
 Vectors get one more component, so that inner products become distances: with M the largest norm, a datum x is
 (x, sqrt(M^2 - |x|^2)) and a query (q, 0); then |q - x|^2 = |q|^2 + M^2 - 2 q.x. Data are grouped by their nearest pivot.
 Summaries of the groups (radii, and the distances of the k + 1 nearest members to the pivot) bound, for each group of
-queries, how far its k-th neighbour can be; a datum goes to a group of queries only if the triangle inequality does not
-rule it out. What arrives is cut into chunks of bounded size; each chunk is solved exactly, in integers, and the best k
-of all chunks are kept.
+queries, how far its k-th neighbour can be. A group's data are cut, by distance from the pivot, into chunks of bounded
+size; a chunk goes to a block of queries, and the block's queries to the chunk, only if the triangle inequality does not
+rule its farthest member out. Each pair of block and chunk is solved exactly, in integers, and the best k of all are kept.
 """
 
 from __future__ import annotations
@@ -25,19 +25,21 @@ from quirework.llm.common import prepare, renamed, table
 PIVOTS = 256
 #: Queries and data that meet in one task.
 QUERIES, DATA = 2048, 8192
+#: Bands of distance in a group.
+BANDS = 8
 #: Slack on distances for rounding.
 SLACK = 1e-6
 
 
 def scaled(vectors: DataFrame, vec_id: str, embedding: str, factor: int) -> DataFrame:
-    """(vec_id, v): floor(factor * x) of each component; without vectors that are null or hold null or non-finite ones,
-    and without those of another length than the most frequent (the longest of several). Rows of the same id and
+    """(vec_id, v): floor(factor * x) of each component; without vectors that are null or hold null or non-finite ones.
+    Shorter vectors have zeros for what they lack, so that inner products are over what both have. Rows of the same id and
     vector are one."""
     rows = renamed(vectors, {"vec_id": vec_id, "e": embedding}).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("e").cast("array<double>").alias("e"))
     good = rows.where("vec_id is not null and e is not null and size(e) > 0 and forall(e, x -> x is not null and not isnan(x) and abs(x) < double('inf'))")
-    kept = table(good.select("vec_id", F.expr(f"transform(e, x -> cast(floor({factor} * x) as bigint))").alias("v")).distinct(), "knn-vectors")
-    common = kept.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return kept.where(F.size("v") == (common[0] if common else 0))
+    width = good.agg(F.max(F.size("e"))).first()[0] or 0
+    whole = F.expr(f"concat(transform(e, x -> cast(floor({factor} * x) as bigint)), array_repeat(bigint(0), {width} - size(e)))")
+    return table(good.select("vec_id", whole.alias("v")).distinct(), "knn-vectors")
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -84,21 +86,15 @@ def bounds(pivots: np.ndarray, reach: dict[int, float], near: dict[int, list[flo
     return out
 
 
-def _replicate(shared):
-    """Data to each block of queries that may need them, by the bound of the block's cell; and to a chunk there."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks, least, chunks = shared.value
-        for batch in batches:
-            cells, far = batch.column(3).to_numpy(), batch.column(4).to_numpy()
-            for block in blocks:
-                keep = np.flatnonzero(far >= least[block, cells])
-                if len(keep):
-                    ids = batch.column(0).take(pa.array(keep))
-                    chunk = (ids.to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(chunks)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keep), block, np.int32)), pa.array(chunk.astype(np.int32)), ids, batch.column(1).take(pa.array(keep))], ["block", "chunk", "vec_id", "v"])
-
-    return run
+def _ranges(numbers: list[int]) -> list[tuple[int, int]]:
+    """Runs of consecutive numbers as (first, last)."""
+    out: list[list[int]] = []
+    for x in numbers:
+        if out and x == out[-1][1] + 1:
+            out[-1][1] = x
+        else:
+            out.append([x, x])
+    return [(a, b) for a, b in out]
 
 
 def _solve(k: int):
@@ -106,8 +102,8 @@ def _solve(k: int):
         if not len(queries) or not len(data):
             return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="int64")})
         data = data.sort_values("vec_id", kind="stable")
-        ids, asks = data["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
-        x, q = np.stack(data["v"].to_list()).astype(np.int64), np.stack(queries["v"].to_list()).astype(np.int64)
+        ids, asks = data["vec_id"].to_numpy(), queries["query_id"].to_numpy()
+        x, q = np.stack(data["v"].to_list()).astype(np.int64), np.stack(queries["query"].to_list()).astype(np.int64)
         exact = float(np.abs(x).max()) * float(np.abs(q).max()) * x.shape[1] < 2.0**53
         out: list[list[np.ndarray]] = [[], [], []]
         for at in range(0, len(q), 256):
@@ -130,9 +126,9 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, factor: int = 256, ve
     """(query_id, rank, vec_id, score): for each vector whose id is divisible by `every`, the k others of the highest
     inner product of floor(factor * x) vectors; all of them if there are fewer; ties to smaller ids; rank from 1.
 
-    Null ids and vectors that are null, empty, or hold null or non-finite components take no part, nor do vectors of
-    another length than the most frequent. Repeated rows are one. Vectors that share an id are each data; queries of
-    such an id give the best of all. Inner products must fit a long. Other columns are not looked at. The driver holds
+    Null ids and vectors that are null, empty, or hold null or non-finite components take no part. Vectors of different lengths
+    are compared over what both have. Repeated rows are one. Vectors that share an id are each data; queries of
+    such an id give the best of all. Inner products are asked to fit a long; an ArithmeticError says if they may not. Other columns are not looked at. The driver holds
     pivots (PIVOTS at most) and, for each, k + 2 numbers.
     """
     spark = vectors.sparkSession
@@ -140,6 +136,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, factor: int = 256, ve
     rows = scaled(vectors, vec_id, embedding, factor)
     norm = F.expr("aggregate(v, 0D, (a, x) -> a + double(x) * double(x))")
     n, top = rows.agg(F.count("*"), F.max(norm)).first()
+    if n and top >= 2.0**62:  # no inner product is above the largest of squares
+        raise ArithmeticError("inner products may not fit a long; take a smaller factor")
     schema = "query_id bigint, rank int, vec_id bigint, score bigint"
     if not n:
         return spark.createDataFrame([], schema)
@@ -166,16 +164,35 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, factor: int = 256, ve
         of[i] = block
         size += radius[i][1]
         parts[block] = max(1, -(-size // QUERIES))
-    blocks = [b + s for b, count in parts.items() for s in range(count)]
-    least = np.full((max(blocks) + 1, len(pivots)), np.inf)
+    groups = sorted(parts)
+    least = np.full((len(groups), len(pivots)), np.inf)
     for i, found in need.items():
+        g = groups.index(of[i])
         for j, d in found:
-            for s in range(parts[of[i]]):
-                least[of[i] + s, j] = min(least[of[i] + s, j], d)
-    chunks = max(1, -(-n // DATA))
-    spread = data.mapInArrow(_replicate(spark.sparkContext.broadcast((blocks, least, chunks))), "block int, chunk int, vec_id bigint, v array<bigint>")
-    starts = spark.createDataFrame([(i, of[i], parts[of[i]]) for i in radius], "cell int, start int, parts int")
-    copies = asks.join(F.broadcast(starts), "cell").select((F.col("start") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), "vec_id", "v")
+            least[g, j] = min(least[g, j], d)
+    # Bands of distance in each cell; small ones are packed into a chunk, large ones are several. PIVOTS * BANDS rows at most.
+    reach = spark.createDataFrame([(c, float(f)) for c, f in data.groupBy("cell").agg(F.max("far")).collect()], "cell int, reach double")
+    banded = data.join(F.broadcast(reach), "cell").withColumn("band", F.when(F.col("reach") > 0, F.least(F.lit(BANDS - 1), F.floor(F.col("far") / F.col("reach") * BANDS))).otherwise(0).cast("int"))
+    chunks: list[tuple[int, int, int, int, list[int]]] = []  # cell, band, first chunk, how many, groups that need it
+    wanted: dict[int, set[int]] = {g: set() for g in groups}
+    chunk = held = 0
+    for cell, band, count, far in sorted(map(tuple, banded.groupBy("cell", "band").agg(F.count("*"), F.max("far")).collect())):
+        if held and held + count > DATA:
+            chunk, held = chunk + 1, 0
+        own = -(-count // DATA)
+        asked = [groups[g] for g in np.flatnonzero(far >= least[:, cell])]
+        chunks.append((cell, band, chunk, own, asked))
+        for g in asked:
+            wanted[g].update(range(chunk, chunk + own))
+        chunk, held = (chunk + own, 0) if own > 1 else (chunk, held + count)
+    placed_in = F.broadcast(spark.createDataFrame(chunks, "cell int, band int, first int, own int, groups array<int>"))
+    of_group = F.broadcast(spark.createDataFrame([(g, parts[g]) for g in groups], "grp int, parts int"))
+    part = lambda of: F.pmod(F.xxhash64("vec_id", F.lit("part")), F.col(of)).cast("int")
+    spread = banded.join(placed_in, ["cell", "band"]).select((F.col("first") + part("own")).alias("chunk"), "vec_id", "v", F.explode("groups").alias("grp")).join(of_group, "grp")
+    spread = spread.select(F.explode(F.expr("sequence(grp, grp + parts - 1)")).alias("block"), "chunk", "vec_id", "v")
+    homes = F.broadcast(spark.createDataFrame([(i, of[i], parts[of[i]]) for i in radius], "cell int, grp int, parts int"))
+    runs = F.broadcast(spark.createDataFrame([(g, a, b) for g in groups for a, b in _ranges(sorted(wanted[g]))], "grp int, a int, b int"))
+    copies = asks.join(homes, "cell").join(runs, "grp").select((F.col("grp") + part("parts")).alias("block"), F.explode(F.sequence("a", "b")).alias("chunk"), F.col("vec_id").alias("query_id"), F.col("v").alias("query"))
     solved = copies.groupBy("block", "chunk").cogroup(spread.groupBy("block", "chunk")).applyInPandas(_solve(k), "query_id bigint, vec_id bigint, score bigint")
     best = solved.distinct().withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return best.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

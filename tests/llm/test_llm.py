@@ -336,7 +336,7 @@ def test_passages_against_brute_force(spark):
 def test_top_k(spark):
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(400)] + [(i, [0.5] * 8) for i in range(400, 460)]
-    rows += [(500, None), (501, [1.0, None] + [0.0] * 6), (502, [float("nan")] * 8), (503, [1.0]), (None, [1.0] * 8), (3, rows[3][1])]
+    rows += [(500, None), (501, [1.0, None] + [0.0] * 6), (502, [float("nan")] * 8), (None, [1.0] * 8), (3, rows[3][1])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     v = {i: [math.floor(256 * x) for x in e] for i, e in rows[:460]}
     want = []
@@ -349,6 +349,17 @@ def test_top_k(spark):
     finally:
         voronoi.QUERIES, voronoi.DATA = old
     assert voronoi.top_k(df.limit(0)).count() == 0
+    with pytest.raises(ArithmeticError):
+        voronoi.top_k(spark.createDataFrame([(0, [1e9] * 8), (1, [1e9] * 8)], df.schema))
+    short = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0]), (50, [0.5, 1.0, 9.0])], df.schema)
+    got = {(r.query_id, r.vec_id): r.score for r in voronoi.top_k(short).collect()}
+    assert got == {(0, 1): 256 * 768, (0, 50): 256 * 128 + 512 * 256, (50, 0): 256 * 128 + 512 * 256, (50, 1): 768 * 128}
+    far = [(i, (np.eye(8)[i % 8] * 40 + rng.normal(size=8) * 0.1).tolist()) for i in range(800)]
+    v = {i: [math.floor(256 * x) for x in e] for i, e in far}
+    want = [(q, n, i, -d) for q in range(0, 800, 50) for n, (d, i) in enumerate(sorted((-sum(a * b for a, b in zip(v[q], v[i], strict=True)), i) for i in v if i != q)[:5], 1)]
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(voronoi, "DATA", 40)
+        assert sorted(map(tuple, voronoi.top_k(spark.createDataFrame(far, df.schema)).collect())) == sorted(want)
 
 
 def test_mix(spark, docs, texts, empty):
