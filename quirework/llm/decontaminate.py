@@ -10,13 +10,14 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quirework.llm.common import bytes_of, prepare, renamed, slices, without
+from quirework.llm.common import bytes_of, cached, prepare, renamed, slices, table, without
 
 #: Item bytes in one automaton. More items make more automata, each streamed in a pass of its own.
 SHARD_BYTES = 2_000_000
@@ -24,7 +25,11 @@ SHARD_BYTES = 2_000_000
 FOLD = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 ADDED = ["decon_words", "decon_hit", "decon_longest", "decon_items", "decon_spans", "decon_text"]
-SPAN = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("first", "last", "longest")]))
+SPANS = ("first", "last", "longest")
+SPAN = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in SPANS]))
+SPAN_TYPE = pa.list_(pa.struct([(n, pa.int32()) for n in SPANS]))
+#: The number of a row, and what shards have found in it.
+ROW, JOINED = "decon__row", ("decon__spans", "decon__items")
 FIELDS = [T.StructField("decon_words", T.LongType()), T.StructField("decon_hit", T.LongType()), T.StructField("decon_longest", T.IntegerType()), T.StructField("decon_items", T.ArrayType(T.StringType())), T.StructField("decon_spans", SPAN), T.StructField("decon_text", T.StringType())]
 
 
@@ -162,53 +167,71 @@ def cut(raw: bytes, spans: list[tuple[int, int, int]], least: int) -> bytes:
     return b"".join([*kept, raw[start:]])
 
 
-_BUILT: dict[bytes, Automaton] = {}
-
-
 def _automaton(items: list[tuple[str, bytes]], window: int) -> Automaton:
     """Built once a worker for each shard."""
     key = hashlib.sha256(repr((items, window)).encode()).digest()
-    if key not in _BUILT:
-        _BUILT.clear()
-        _BUILT[key] = Automaton([(name, words_of(raw)) for name, raw in items], window)
-    return _BUILT[key]
+    return cached(key, lambda: Automaton([(name, words_of(raw)) for name, raw in items], window))
+
 
+def _hits(shared, window: int):
+    """Of rows (row, body): spans and items of those that one shard has hits in."""
 
-def _pass(shared, text: str, window: int, least: int, carry: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         built = _automaton(shared.value, window)
+        for batch in slices(batches):
+            found = [(row, *built.matches(words_of(raw))) for row, raw in zip(batch.column(0).to_pylist(), bytes_of(batch, "body"), strict=True)]
+            found = [(row, [dict(zip(SPANS, s, strict=True)) for s in merged(spans)], sorted(items)) for row, spans, items in found if spans]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], t) for k, t in enumerate((pa.int64(), SPAN_TYPE, pa.list_(pa.string())))], ["row", "spans", "items"])
+
+    return run
+
+
+def _marked(text: str, least: int, look):
+    """Adds what is known of each text; look gives its spans and items from the batch, the number of a row and its words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        see = look()
         for batch in slices(batches):
             rows = {n: [] for n in ADDED}
-            before = batch.column(batch.schema.get_field_index("decon_spans")).to_pylist() if carry else None
-            owned = batch.column(batch.schema.get_field_index("decon_items")).to_pylist() if carry else None
+            given = see(batch)
             for i, raw in enumerate(bytes_of(batch, text)):
                 words = words_of(raw)
-                spans, found = built.matches(words)
-                if carry:
-                    spans += [(s["first"], s["last"], s["longest"]) for s in before[i]]
-                    found |= set(owned[i])
+                spans, found = given(i, words)
                 spans = merged(spans)
                 rows["decon_words"].append(len(words))
                 rows["decon_hit"].append(sum(b - a for a, b, _ in spans))
                 rows["decon_longest"].append(max((n for *_, n in spans), default=0))
                 rows["decon_items"].append(sorted(found))
-                rows["decon_spans"].append([dict(zip(("first", "last", "longest"), s, strict=True)) for s in spans])
+                rows["decon_spans"].append([dict(zip(SPANS, s, strict=True)) for s in spans])
                 rows["decon_text"].append(cut(raw, spans, least).decode("utf-8", "replace"))
-            kept = [n for n in batch.schema.names if n not in ADDED]
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.struct([(n, pa.int32()) for n in ("first", "last", "longest")])), pa.string()]
+            kept = [n for n in batch.schema.names if n not in (*ADDED, *JOINED)]
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()), SPAN_TYPE, pa.string()]
             columns = [batch.column(batch.schema.get_field_index(n)) for n in kept]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(rows[n], t) for n, t in zip(ADDED, types, strict=True)], [*kept, *ADDED])
 
     return run
 
 
-def shards(items: DataFrame) -> Iterator[list[tuple[str, bytes]]]:
-    """Collects items (item, body) in shards of about SHARD_BYTES; the sum of their lengths is asked for first."""
-    total = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    n = -(-total // SHARD_BYTES) or 1
-    for k in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == k)
-        yield sorted((r["item"], r["body"].encode()) for r in part.collect())
+def _by_automaton(shared, window: int):
+    def look():
+        built = _automaton(shared.value, window)
+        return lambda batch: lambda i, words: built.matches(words)
+
+    return look
+
+
+def _by_column():
+    def see(batch: pa.RecordBatch):
+        spans, items = (batch.column(batch.schema.get_field_index(n)).to_pylist() for n in JOINED)
+        return lambda i, words: ([tuple(s[n] for n in SPANS) for part in spans[i] or [] for s in part], {x for part in items[i] or [] for x in part})
+
+    return see
+
+
+def shard(items: DataFrame, k: int, count: int) -> list[tuple[str, bytes]]:
+    """The items (item, body) of one of `count` shards, of about SHARD_BYTES each."""
+    part = items if count == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(count)) == k)
+    return sorted((r["item"], r["body"].encode()) for r in part.collect())
 
 
 def scan(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, min_match: int = 10) -> DataFrame:
@@ -223,18 +246,26 @@ def scan(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "
     none. Null and empty texts have no words and no hits. Items with a null id or text take no part. Repeated rows and
     repeated items are each scanned; equal ids are one item. No items: no hits.
 
-    The items, not the documents, are broadcast, in shards of at most about SHARD_BYTES; more items need more passes.
+    The items, not the documents, are broadcast, in shards of about SHARD_BYTES. Each further shard takes a pass of its own,
+    which gives the rows that it has hits in; these are joined to their documents at the end.
     """
     spark = docs.sparkSession
     prepare(spark)
     body = renamed(items, {"item": item_id, "body": item_text}).select(F.col("item").cast("string").alias("item"), "body").where("item is not null and body is not null")
     out = without(docs, ADDED)
-    carry = False
-    for shard in shards(body):
-        fields = [f for f in out.schema.fields if f.name not in ADDED] + FIELDS
-        out = out.mapInArrow(_pass(spark.sparkContext.broadcast(shard), text, window, min_match, carry), T.StructType(fields))
-        carry = True
-    return out
+    schema = T.StructType([*out.schema.fields, *FIELDS])
+    total = body.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    count = -(-total // SHARD_BYTES) or 1
+    if count == 1:
+        return out.mapInArrow(_marked(text, min_match, _by_automaton(spark.sparkContext.broadcast(shard(body, 0, 1)), window)), schema)
+    rows = table(out.withColumn(ROW, F.monotonically_increasing_id()), "decon-rows")
+    found = []
+    for k in range(count):
+        shared = spark.sparkContext.broadcast(shard(body, k, count))
+        found.append(table(renamed(rows, {"row": ROW, "body": text}).mapInArrow(_hits(shared, window), T.StructType([T.StructField("row", T.LongType()), T.StructField("spans", SPAN), T.StructField("items", T.ArrayType(T.StringType()))])), "decon-hits"))
+        shared.destroy()
+    hits = reduce(DataFrame.union, found).groupBy(F.col("row").alias(ROW)).agg(F.collect_list("spans").alias(JOINED[0]), F.collect_list("items").alias(JOINED[1]))
+    return rows.join(hits, ROW, "left").drop(ROW).mapInArrow(_marked(text, min_match, lambda: _by_column()), schema)
 
 
 def remove(docs: DataFrame, items: DataFrame, max_coverage: float = 0.5, text: str = "text", **how) -> DataFrame:
