@@ -33,3 +33,8 @@ NUMERALS = "一二三四五六七八九十百"
 INTRO_END = "前言|序言|编委|版权|目录|获取数字资源|读者信息反馈"
 EDITOR_KINDS = "数字副主编|数字主编|副主编|主编|主审"
 INPUT_EXTENSIONS = "pdf|docx?|pptx?|xlsx?|png|jpe?g|webp|gif|bmp|jp2"
+
+# Lines that only announce digital extras, as media lines have them.
+MEDIA_LINES = ("视频", "本章数字资源", "本章思维导图")
+# Names that a clean-up removes (a prefix, a whole name) and one that it never does.
+LEFTOVER_PREFIX, LEFTOVER_NAME, TOKEN_NAME = ".medlib-", ".tmp", ".medlib-token"

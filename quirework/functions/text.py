@@ -212,3 +212,16 @@ def convert_math(c: Column) -> Column:
     """Each $...$ of one line as plain text."""
     cut = F.split(sub(c, "\\$([^$\\n]+)\\$", "\x03$1\x03"), "\x03")
     return F.array_join(F.transform(cut, lambda x, i: F.when(i % 2 == 1, math_text(x)).otherwise(x)), "")
+
+
+def unwrap_plain(c: Column) -> Column:
+    """Display blocks ($$ alone on lines) without a command become their body; a block ends at the first closing $$."""
+    cut = F.split(sub(c, "(?s)\\$\\$\n(.*?)\n\\$\\$", "\x04$1\x04"), "\x04")
+    kept = lambda x: F.concat(F.lit("$$\n"), x, F.lit("\n$$"))
+    return F.array_join(F.transform(cut, lambda x, i: F.when((i % 2 == 1) & x.contains("\\"), kept(x)).otherwise(x)), "")
+
+
+def is_leftover(name: Column, own: Column) -> Column:
+    """Whether a clean-up of a folder removes this name: scratch files, never the token or the output that is being written."""
+    scratch = name.startswith(rules.LEFTOVER_PREFIX) | (name == rules.LEFTOVER_NAME)
+    return scratch & (name != rules.TOKEN_NAME) & ~F.coalesce(name == own, F.lit(False))

@@ -209,3 +209,24 @@ def drop_between(lines: DataFrame, start: str, end: str) -> DataFrame:
     rows = lines.withColumn("b", F.min(F.when(c == end, F.col("line_no"))).over(whole)).withColumn("a", F.min(F.when(c == start, F.col("line_no"))).over(whole))
     gone = F.coalesce((F.col("line_no") >= F.col("a")) & (F.col("line_no") < F.col("b")), F.lit(False))
     return rows.where(~gone).select("book", "line_no", "line")
+
+
+def insert_at_phrases(lines: DataFrame, phrases: DataFrame) -> DataFrame:
+    """A heading and a blank line before the first line that begins with a phrase; phrases are (book, ord, phrase, title). Phrases
+    that no line begins with give nothing; empty ones are left out."""
+    asked = phrases.where("phrase <> ''").withColumn("n", F.length("phrase"))
+    starts = lines.join(asked.select("book", "n").distinct(), "book").select("book", "line_no", F.expr("left(line, n)").alias("phrase"))
+    first = asked.join(starts, ["book", "phrase"]).groupBy("book", "ord", "title").agg(F.min("line_no").alias("line_no"))
+    added = first.select("book", "line_no", F.col("ord").alias("sub_no"), F.posexplode(F.array(F.concat(F.lit("# "), "title"), F.lit(""))).alias("part", "line"))
+    kept = lines.select("book", "line_no", F.lit(1 << 30).alias("sub_no"), F.lit(0).alias("part"), "line")
+    return renumber(kept.unionByName(added), "line_no", "sub_no", "part")
+
+
+def media_lines(lines: DataFrame) -> DataFrame:
+    """Without image references and lines that announce digital extras; captions of figures and tables with a text in bold."""
+    c = T.strip(F.col("line"))
+    gone = (c.startswith("![") & F.col("line").contains("images/")) | c.isin(*rules.MEDIA_LINES)
+    figure, table = "^图\\s*([0-9]+-[0-9]+[A-Z]?)\\s*[　 \u2002\u2003\\t]+(.+)$", "^(表[0-9]+-[0-9]+[A-Z]?)[\\s　]*(.+)$"
+    bold = lambda name, pattern: F.concat(F.lit("**"), name, F.lit("　"), T.strip(F.regexp_extract(c, pattern, 2)), F.lit("**"))
+    new = F.when(F.col("line").startswith("**"), F.col("line")).when(c.rlike(figure), bold(F.concat(F.lit("图"), F.regexp_extract(c, figure, 1)), figure)).when(c.rlike(table), bold(F.regexp_extract(c, table, 1), table)).otherwise(F.col("line"))
+    return lines.where(~gone).withColumn("line", new)

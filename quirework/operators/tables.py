@@ -155,3 +155,19 @@ def replace_text(text: Column, old: Column, new: Column, count: Column) -> Colum
     """Every occurrence, if there are as many as expected; else the text as it is."""
     found = (F.length(text) - F.length(F.replace(text, old, F.lit("")))) / F.length(old)
     return F.when(found == count, F.replace(text, old, new)).otherwise(text)
+
+
+def replace_table(lines: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rules (book, title, html): the pipe table after a title that begins exactly one line becomes the lines of html. Gives the
+    lines and (book, title, rows, applied): the rows of the old table, null where a rule does not apply. Of rules that meet the same
+    table, the first by title counts."""
+    found = title_blocks(lines, rules.select("book", "title").distinct())
+    first = found.groupBy("book", "start", "end").agg(F.min("title").alias("title"))
+    put = first.join(rules.groupBy("book", "title").agg(F.min("html").alias("html")), ["book", "title"])
+    spans = put.select("book", F.col("start").alias("from"), F.col("end").alias("to"))
+    marks = spans.select("book", F.col("from").alias("line_no"), "to")
+    inside = lines.join(marks, ["book", "line_no"], "left").withColumn("upto", F.max("to").over(own().rowsBetween(W.unboundedPreceding, 0)))
+    kept = inside.where(F.col("upto").isNull() | (F.col("line_no") > F.col("upto"))).select("book", "line_no", F.lit(-1).alias("sub_no"), "line")
+    added = put.select("book", F.col("start").alias("line_no"), F.posexplode(F.split("html", "\n")).alias("sub_no", "line"))
+    outcome = rules.join(put.select("book", "title", (F.col("end") - F.col("start") + 1).alias("rows")), ["book", "title"], "left")
+    return renumber(kept.unionByName(added), "line_no", "sub_no"), outcome.select("book", "title", "rows", F.col("rows").isNotNull().alias("applied"))

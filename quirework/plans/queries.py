@@ -465,3 +465,45 @@ def polish(lines: DataFrame) -> DataFrame:
 @query()
 def polish_pipeline(spark, sf_dir):
     return polish(book_lines(spark, sf_dir))
+
+
+MEDIA = "select concat('b', cast(o_custkey % 20 as varchar(20))) as book, cast(row_number() over (partition by o_custkey % 20 order by o_orderkey) as int) as line_no, case o_orderkey % 9 when 0 then ' 视频 ' when 1 then '![x](images/a.jpg)' when 2 then concat('图', o_orderkey % 7, '-2A  cap ') when 3 then concat('表', o_orderkey % 5, '-1　t') when 4 then '本章思维导图' when 5 then '**图1-1　x**' when 6 then '图1-2' when 7 then '表1-2' else concat('text 视频 ', o_orderkey) end as line from {orders}"
+
+
+@query(f"with l as ({MEDIA}) select book, line_no, case when regexp_matches(line, '^图[0-9]-2A') then concat('**', left(line, 5), '　cap**') when regexp_matches(line, '^表[0-9]-1　') then concat('**', line, '**') else line end as line from l where not regexp_matches(line, '^( 视频 |!.*|本章思维导图)$')")
+def fl10_media(spark, sf_dir):
+    return structure.media_lines(here(spark, sf_dir, MEDIA))
+
+
+PHRASES = "select concat('b', cast(n_nationkey as varchar(20))) as book, k as ord, concat('p', n_nationkey * 10 + k) as phrase, concat('第', k, '章') as title from {nation}, (select 1 as k union all select 2 union all select 3) t"
+
+
+@query(f"with l as {LINES}, m as ({PHRASES}), h as (select m.book, m.ord, m.title, min(l.line_no) as hit from m join l on l.book = m.book and starts_with(l.line, m.phrase) group by 1, 2, 3), e as (select book, line_no, 1000000 as s, 0 as p, line from l union all select book, hit, ord, 0, concat('# ', title) from h union all select book, hit, ord, 1, '' from h) select book, cast(row_number() over (partition by book order by line_no, s, p) as int) as line_no, line from e")
+def sq8_phrases(spark, sf_dir):
+    return structure.insert_at_phrases(book_lines(spark, sf_dir), here(spark, sf_dir, PHRASES))
+
+
+@query("select o_orderkey, concat('a', chr(10), case when o_orderkey % 3 = 0 then concat('$$', chr(10), '\\frac', chr(10), '$$') else concat('x', chr(10), o_orderkey) end, chr(10), 'b') as out from orders")
+def pj24_unwrap(spark, sf_dir):
+    rows = here(spark, sf_dir, "select o_orderkey, concat('a\\n$$\\n', case when o_orderkey % 3 = 0 then '\\\\frac' else concat('x\\n', o_orderkey) end, '\\n$$\\nb') as t from {orders}")
+    return rows.select("o_orderkey", T.unwrap_plain(F.col("t")).alias("out"))
+
+
+@query("select o_orderkey, o_orderkey % 6 in (1, 3) as gone from orders")
+def sk9_clean(spark, sf_dir):
+    rows = here(spark, sf_dir, "select o_orderkey, case o_orderkey % 6 when 0 then '.medlib-token' when 1 then concat('.medlib-', o_orderkey) when 2 then '.medlib-out' when 3 then '.tmp' when 4 then 'tmp' else 'a.medlib-x' end as name from {orders}")
+    return rows.select("o_orderkey", T.is_leftover(F.col("name"), F.lit(".medlib-out")).alias("gone"))
+
+
+TITLED = f"(select book, 0 as line_no, concat('表', right(book, 1), '-1 x') as line from ({PIPES}) a group by book union all select book, line_no, line from ({PIPES}) b)"
+
+
+@query(f"with l as {TITLED}, e as (select book, 0 as a, 0 as b, line from l where line_no = 0 union all select distinct book, 1, k, case k when 0 then '<table>' else '</table>' end from l, (select 0 as k union all select 1) t where book <> 't0' union all select book, 2, line_no, line from l where line_no > 0 and book = 't0') select book, cast(row_number() over (partition by book order by a, b) as int) as line_no, line from e")
+def tb8_replace_table(spark, sf_dir):
+    lines = here(spark, sf_dir, f"select * from {TITLED} q")
+    found = lines.select("book").distinct().select("book", F.when(F.col("book") == "t0", "none").otherwise(F.concat(F.lit("表"), F.right("book", F.lit(1)), F.lit("-1"))).alias("title"), F.lit("<table>\n</table>").alias("html"))
+    return tables.replace_table(lines, found)[0]
+
+
+#: Its lines have neither labels nor signatures, so the cascade removes what the plain reasons do; tests have both.
+ORACLE["fg1_cascade"] = ORACLE["fg1_junk"]
