@@ -137,6 +137,31 @@ def test_similar_documents_of_copies_of_copies(spark, monkeypatch):
     assert (len(set(got.values())), got) == (len(set(want)), dict(enumerate(want)))
 
 
+def test_similar_documents_joins_fingerprints_within_two_bits(spark):
+    words = [f"w10465{c}" for c in "abcdefghi"]  # 4 of 5 shingles in common
+    few, more = (np.unique(simhash.shingle_hashes(" ".join(words[:n]).encode(), 5)) for n in (8, 9))
+    assert len(few) == 4 and len(more) == 5 and not set(simhash.view_cells(few).tolist()) & set(simhash.view_cells(more).tolist())
+    df = spark.createDataFrame([(1, " ".join(words[:8])), (2, " ".join(words)), (3, "w10465a w10465b")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.similar_documents(df).collect()} == {1: 1, 2: 1, 3: 3}
+    assert np.bitwise_count(simhash.view_prints(few) ^ simhash.view_prints(more)).min() == 2
+
+
+def test_link_views(spark):
+    rng = np.random.default_rng(4)
+    rows = set()
+    for centre in [0, -1, *rng.integers(-(2**63), 2**63, 60).tolist()]:
+        for _ in range(12 if centre else 400):
+            bits = sum(1 << int(b) for b in set(rng.integers(0, 63, rng.integers(0, 5)).tolist()))
+            rows.add((int(rng.choice([0, 1, 16])), centre ^ bits))
+    rows = sorted(rows)
+    near = lambda x, y: ((x ^ y) % (1 << 64)).bit_count() <= 2
+    at = {row: i for i, row in enumerate(rows)}
+    got = [(r.a, r.b) for r in simhash.link_views(spark.createDataFrame(rows, "view int, fp long")).collect()]
+    close = [(a, b) for a, (v, x) in enumerate(rows) for b, (w, y) in enumerate(rows[:a]) if v == w and near(x, y)]
+    found = [(at[v, a], at[v, b]) for v in (0, 1, 16) for a, b in got if (v, a) in at and (v, b) in at]
+    assert close and all(near(a, b) for a, b in got) and linked(len(rows), found) == linked(len(rows), close)
+
+
 def test_deduplicate_rows_without_an_id_of_their_own(spark):
     rng = random.Random(3)
     text = [" ".join(f"w{rng.randrange(9999)}" for _ in range(60)) for _ in range(40)]
