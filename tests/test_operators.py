@@ -210,3 +210,30 @@ def test_cascade_against_walk(spark):
                     continue
             at += 1
     assert set(map(tuple, figures.junk_cascade(df, files_).collect())) == want
+
+
+def test_audit_gives_few_rows():
+    import numpy as np
+
+    rng = random.Random(2)
+    text = "".join(rng.choices("abcdefghijklmnop,.", k=100_000))
+    paras = [text[at : at + n] for at, n in ((5, 9), (77, 30), (900, 41), (20_000, 70_000), (99_992, 8))]
+    runs = audit.run_of([p[:40] for p in paras], np.array([len(p) for p in paras]))
+    filters = [np.zeros(8192, np.uint8) for _ in audit.CLASSES]
+    for run in runs[:, 0]:
+        bit = (int(run) >> 6) & 65535
+        filters[(int(run) & 63) - 1][bit >> 3] |= 1 << (bit & 7)
+    _, at, found = audit.runs_of(["", text], filters)
+    for (run, place), start in zip(runs, (5, 77, 900, 20_000, 99_992), strict=True):
+        assert (start + place, run) in set(zip(at, found, strict=True))
+    assert len(at) < 50  # not one row a character
+
+
+def test_folds_and_spaces(spark):
+    import re
+
+    from quirework.functions import rules
+
+    given = rules.FOLD_FROM + rules.CIRCLED + "".join(a for a, _ in (*rules.STRICT_FOLDS, *rules.LENIENT_FOLDS))
+    assert all(re.fullmatch(f"[*{T.VARIANTS}]", c) for c in given)
+    assert one(spark, T.no_space, "".join(f"x{c}" for c in T.SPACES)) == "x" * len(T.SPACES) and one(spark, T.strip, T.SPACES + "a\u3000b" + T.SPACES) == "a\u3000b"
