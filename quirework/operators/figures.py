@@ -28,14 +28,17 @@ def captions(lines: DataFrame) -> DataFrame:
 
 
 def marked(lines: DataFrame) -> DataFrame:
-    """captions() with image (name), the next and previous full lines, and the nearest captions."""
+    """captions() with image (name), the next and previous full lines, the nearest captions, and the nearest placeholder from the line on. What is
+    below comes first and what is above then, so lines are sorted twice."""
     c = F.col("line")
     full = F.when(T.strip(c) != "", T.strip(c))
     rows = captions(lines).withColumn("image", F.when(c.rlike(IMAGE), F.regexp_extract(c, IMAGE, 1)))
     above, below = own().rowsBetween(W.unboundedPreceding, -1), back().rowsBetween(W.unboundedPreceding, -1)
     at = F.when(F.col("cap").isNotNull(), F.col("line_no"))
-    down = rows.withColumn("prev", F.last(full, True).over(above)).withColumn("cap_above", F.last(at, True).over(above))
-    return down.withColumn("next", F.last(full, True).over(below)).withColumn("cap_below", F.last(at, True).over(below)).withColumn("key_below", F.last("cap", True).over(below))
+    mark = F.regexp_extract(T.strip(c), "^\\[(fig[0-9]+-[0-9]+)\\]$", 1)
+    up = rows.withColumn("mark_at", F.last(F.when(mark != "", F.struct(F.col("line_no").alias("at"), mark.alias("key"))), True).over(back().rowsBetween(W.unboundedPreceding, 0)))
+    up = up.withColumn("next", F.last(full, True).over(below)).withColumn("cap_below", F.last(at, True).over(below)).withColumn("key_below", F.last("cap", True).over(below))
+    return up.withColumn("prev", F.last(full, True).over(above)).withColumn("cap_above", F.last(at, True).over(above))
 
 
 def junk_reasons(lines: DataFrame, files: DataFrame, radius: int = 15, least: int = 7000) -> DataFrame:
@@ -54,16 +57,17 @@ def junk_cascade(lines: DataFrame, files: DataFrame, radius: int = 15, least: in
     images never change what stands before the next: that is the nearest other full line, less the labels
     that go with an image before them. All of it is windows.
     """
-    rows = marked(lines).join(files.select("book", F.col("name").alias("image"), "size"), ["book", "image"], "left")
+    rows = marked(lines)
     above = own().rowsBetween(W.unboundedPreceding, -1)
     t, next_label = T.strip(F.col("line")), is_junk_label(F.col("next"))
     hashed, label = F.col("line").rlike(HASHED), is_junk_label(F.col("line"))
     near = F.coalesce((F.col("line_no") - F.col("cap_above") <= radius) | (F.col("cap_below") - F.col("line_no") <= radius), F.lit(False))
-    full = rows.where(t != "").select("book", "line_no", "next", "size", hashed.alias("hashed"), label.alias("label"), t.rlike(SIGNED).alias("signed"), near.alias("near"), F.coalesce(next_label, F.lit(False)).alias("labelled"))
+    full = rows.where(t != "").select("book", "line_no", "image", "next", hashed.alias("hashed"), label.alias("label"), t.rlike(SIGNED).alias("signed"), near.alias("near"), F.coalesce(next_label, F.lit(False)).alias("labelled"))
     full = full.withColumn("dropped", F.col("label") & F.coalesce(F.last(F.when(~F.col("label"), F.col("hashed") & F.col("labelled")), True).over(above), F.lit(False)))
     full = full.withColumn("after", F.coalesce(F.last(F.when(~F.col("hashed") & ~F.col("dropped"), F.col("signed")), True).over(above), F.lit(False)))
     reason = F.when(F.col("labelled"), F.concat(F.lit("label:"), "next")).when(F.col("next").rlike("^#{1,6}\\s*思考题"), "before-exercises").when(F.col("after"), "after-signature").when(~F.col("near"), "no-caption").when(F.coalesce("size", F.lit(0)) < least, "small")
-    return full.where("hashed").withColumn("reason", reason).where("reason is not null").select("book", "line_no", "reason")
+    left = full.where("hashed").join(files.select("book", F.col("name").alias("image"), "size"), ["book", "image"], "left")  # images only
+    return left.withColumn("reason", reason).where("reason is not null").select("book", "line_no", "reason")
 
 
 def panel(line: Column) -> Column:
@@ -72,26 +76,27 @@ def panel(line: Column) -> Column:
     return F.when(line.rlike(numbered), F.regexp_extract(line, numbered, 1).cast("int")).when(line.rlike("^[A-Z]$"), F.ascii(line))
 
 
-def owners(lines: DataFrame) -> DataFrame:
-    """(book, line_no, image, owner, owner_cap): the caption line each image belongs to, and its key.
+def with_owners(lines: DataFrame) -> DataFrame:
+    """marked() with owner of each image: the caption line that it belongs to, and key_above.
 
     A placeholder of the caption below, between the two, decides; else the only caption; else the one below unless the
     one above is nearer, stands right before the image, and the image's panel number goes on from the last image's
     before it by one.
     """
-    rows = marked(lines)
     above = own().rowsBetween(W.unboundedPreceding, -1)
-    mark = F.regexp_extract(T.strip(F.col("line")), "^\\[(fig[0-9]+-[0-9]+)\\]$", 1)
-    rows = rows.withColumn("key_above", F.last("cap", True).over(above))
-    rows = rows.withColumn("mark_at", F.last(F.when(mark != "", F.struct(F.col("line_no").alias("at"), mark.alias("key"))), True).over(back().rowsBetween(W.unboundedPreceding, 0)))
+    rows = marked(lines).withColumn("key_above", F.last("cap", True).over(above))
     rows = rows.withColumn("panel", F.when(F.col("image").isNotNull(), panel(F.col("next")))).withColumn("after_caption", F.last(F.when(T.strip(F.col("line")) != "", F.struct(F.col("cap").isNotNull().alias("c"), F.col("line_no").alias("n"))), True).over(above))
     rows = rows.withColumn("last_panel", F.last(F.when(F.col("image").isNotNull(), F.struct(F.col("panel").alias("p"))), True).over(above))
-    rows = rows.where("image is not null")
     placed = (F.col("mark_at.key") == F.col("key_below")) & (F.col("mark_at.at") <= F.col("cap_below"))
     goes_on = (F.col("line_no") - F.col("cap_above") < F.col("cap_below") - F.col("line_no")) & F.col("after_caption.c") & (F.col("panel") == F.col("last_panel.p") + 1)
     owner = F.when(F.coalesce(placed, F.lit(False)), F.col("cap_below")).when(F.col("cap_above").isNull(), F.col("cap_below")).when(F.col("cap_below").isNull(), F.col("cap_above")).when(F.coalesce(goes_on, F.lit(False)), F.col("cap_above")).otherwise(F.col("cap_below"))
+    return rows.withColumn("owner", F.when(F.col("image").isNotNull(), owner))
+
+
+def owners(lines: DataFrame) -> DataFrame:
+    """(book, line_no, image, owner, owner_cap): the caption line each image belongs to, and its key."""
     cap = F.when(F.col("owner") == F.col("cap_below"), F.col("key_below")).otherwise(F.col("key_above"))
-    return rows.withColumn("owner", owner).where("owner is not null").select("book", "line_no", "image", "owner", cap.alias("owner_cap"))
+    return with_owners(lines).where("owner is not null").select("book", "line_no", "image", "owner", cap.alias("owner_cap"))
 
 
 def named(lines: DataFrame) -> DataFrame:
@@ -105,15 +110,16 @@ def named(lines: DataFrame) -> DataFrame:
 def finish_captions(lines: DataFrame, placeholder: str = "[{}]") -> DataFrame:
     """Captions in bold; above one without an image a placeholder, unless the nearest full line of the three above is
     it."""
-    own_caps = owners(lines).select("book", F.col("owner").alias("line_no")).distinct().withColumn("owned", F.lit(True))
-    rows = captions(lines).join(own_caps, ["book", "line_no"], "left")
+    # An image above a caption belongs to none below that, and one below it to none above: so those that are nearest to it tell.
+    rows = with_owners(lines).withColumn("last_owner", F.max("owner").over(own().rowsBetween(W.unboundedPreceding, -1)))
+    rows = rows.withColumn("near", F.last(F.when(T.strip(F.col("line")) != "", T.strip(F.col("line"))), True).over(own().rowsBetween(-3, -1)))
+    rows = rows.withColumn("next_owner", F.min("owner").over(back().rowsBetween(W.unboundedPreceding, -1)))
+    owned = F.coalesce(F.col("last_owner") == F.col("line_no"), F.lit(False)) | F.coalesce(F.col("next_owner") == F.col("line_no"), F.lit(False))
     a, b = placeholder.split("{}")
     mark = F.concat(F.lit(a), "cap", F.lit(b))
-    full = F.last(F.when(T.strip(F.col("line")) != "", T.strip(F.col("line"))), True).over(own().rowsBetween(-3, -1))
-    rows = rows.withColumn("near", full)
     number = T.sub(F.col("cap"), "^fig", "")
     bold = F.when(F.col("cap").isNull() | T.strip(F.col("line")).startswith("**"), F.col("line")).otherwise(F.concat(F.lit("**图"), number, F.lit("　"), "title", F.lit("**")))
-    missing = F.col("cap").isNotNull() & F.col("owned").isNull() & ~F.coalesce(F.col("near") == mark, F.lit(False))
+    missing = F.col("cap").isNotNull() & ~owned & ~F.coalesce(F.col("near") == mark, F.lit(False))
     parts = F.when(missing, F.array(mark, bold)).otherwise(F.array(bold))
     return renumber(rows.select("book", "line_no", F.posexplode(parts).alias("sub_no", "line")), "line_no", "sub_no")
 

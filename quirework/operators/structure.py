@@ -123,17 +123,22 @@ def insert_chapters(lines: DataFrame, marks: DataFrame, length: int = 24) -> Dat
 def preface_heading(lines: DataFrame) -> DataFrame:
     """## 前言 before the first paragraph of 60 characters above a signature and a date that stand before 目录."""
     c = T.strip(F.col("line"))
-    rows = lines.withColumn("toc", F.min(F.when(c.rlike("^#{1,6}\\s*目录$"), F.col("line_no"))).over(W.partitionBy("book"))).where("line_no < toc and trim(line) <> ''")
-    back = W.partitionBy("book").orderBy(F.desc("line_no"))
-    upto = back.rowsBetween(W.unboundedPreceding, 0)
+    whole, upto = W.partitionBy("book"), back().rowsBetween(W.unboundedPreceding, 0)
     date, head, sign = c.rlike("^[0-9]{4}\\s*年\\s*[0-9]{1,2}\\s*月\\s*[0-9]{1,2}\\s*日$"), c.rlike("^#{1,6}\\s"), c.rlike("^.{1,18}(大学|医院|学院|研究院|医学院)$")
-    rows = rows.withColumn("heads", F.sum(head.cast("int")).over(upto)).where("heads = 0").withColumn("dates", F.sum(date.cast("int")).over(upto)).where(F.col("dates") > 0)
-    rows = rows.withColumn("is_date", date & (F.row_number().over(back) == 1)).where(~F.col("is_date")).withColumn("others", F.sum((~sign).cast("int")).over(upto))
-    signed = rows.where(F.col("others") == 0).groupBy("book").agg(F.min("line_no").alias("signed"))
+    count = lambda x: F.coalesce(F.sum(x.cast("int")).over(upto), F.lit(0))
+    # Nothing is joined: each step marks lines among those that the one before left, from the last to the first.
+    rows = lines.withColumn("toc", F.min(F.when(c.rlike("^#{1,6}\\s*目录$"), F.col("line_no"))).over(whole)).withColumn("left", F.coalesce((F.col("line_no") < F.col("toc")) & (F.trim("line") != ""), F.lit(False)))
+    rows = rows.withColumn("left", F.col("left") & (count(F.col("left") & head) == 0))
+    rows = rows.withColumn("left", F.col("left") & (count(F.col("left") & date) > 0))
+    rows = rows.withColumn("left", F.col("left") & (count(F.col("left")) > 1))  # the last of them is the date
+    rows = rows.withColumn("others", count(F.col("left") & ~sign))
     bio = c.rlike("^(男|女)[，,]\\s*[0-9]|^(从|现|获|担|曾|先后|任)\\S{1,4}(教学|任|职|教)")
-    start = rows.where(F.col("others") > 0).where((F.length(c) >= 60) & ~bio).groupBy("book").agg(F.min("line_no").alias("at"))
-    added = start.join(signed, "book").where(F.col("at") < F.col("signed")).select("book", F.col("at").alias("line_no"), F.posexplode(F.array(F.lit("## 前言"), F.lit(""))).alias("sub_no", "line"))
-    return renumber(lines.withColumn("sub_no", F.lit(9)).select("book", "line_no", "sub_no", "line").unionByName(added), "line_no", "sub_no")
+    signed = F.min(F.when(F.col("left") & (F.col("others") == 0), F.col("line_no"))).over(whole)
+    at = F.min(F.when(F.col("left") & (F.col("others") > 0) & (F.length(c) >= 60) & ~bio, F.col("line_no"))).over(whole)
+    rows = rows.withColumn("signed", signed).withColumn("at", at)
+    here = (F.col("line_no") == F.col("at")) & (F.col("at") < F.col("signed"))
+    parts = F.when(here, F.array(F.lit("## 前言"), F.lit(""), "line")).otherwise(F.array("line"))
+    return renumber(rows.select("book", "line_no", F.posexplode(parts).alias("sub_no", "line")), "line_no", "sub_no")
 
 
 CONTINUES = f"[，、；：,;:]{T.SPACE}*$"
@@ -143,39 +148,42 @@ BLOCK = f"^(\\||#|\\*\\*|!|- |（|[①②③④⑤⑥⑦⑧⑨⑩])|^[0-9]+[.、
 def merge_continued(lines: DataFrame) -> DataFrame:
     """A line that ends open takes in the next full line unless that begins a block; what is taken in is not tested
     again, so chains pair up: of a run of links, every second is made. Blanks between the two go."""
-    c = F.col("line")
-    full = lines.where("line <> ''")
+    c, full = F.col("line"), F.col("line") != ""
+    text = F.when(full, F.struct("line", "line_no"))
     open_ = c.rlike(CONTINUES) | T.strip(c).rlike("(分为|包括|如下)$")
-    rows = full.withColumn("next", F.lead("line").over(own())).withColumn("next_no", F.lead("line_no").over(own()))
-    rows = rows.withColumn("link", open_ & F.col("next").isNotNull() & ~F.col("next").rlike(BLOCK)).withColumn("link", F.coalesce("link", F.lit(False)))
-    rows = rows.withColumn("run", F.sum((~F.col("link")).cast("int")).over(own()) - F.when(F.col("link"), 0).otherwise(1))
-    odd = F.row_number().over(W.partitionBy("book", "run").orderBy("line_no")) % 2 == 1
-    made = rows.withColumn("made", F.col("link") & odd).withColumn("gone", F.coalesce(F.lag("made").over(own()), F.lit(False)))
-    out = made.select("book", "line_no", "next_no", "made", "gone", F.when(F.col("made"), F.concat("line", T.sub(F.col("next"), f"^{T.SPACE}+", ""))).otherwise(c).alias("line"))
-    gaps = lines.where("line = ''").select("book", "line_no", F.lit(None).cast("int").alias("next_no"), F.lit(False).alias("made"), F.lit(False).alias("gone"), "line")
-    both = out.unionByName(gaps).withColumn("upto", F.max(F.when(F.col("made"), F.col("next_no"))).over(before()))
-    return both.where(~F.col("gone") & ~((F.col("line") == "") & (F.col("line_no") < F.coalesce("upto", F.lit(0))))).select("book", "line_no", "line")
+    rows = lines.where("line is not null").withColumn("below", F.last(text, True).over(back().rowsBetween(W.unboundedPreceding, -1))).withColumn("next", F.col("below.line")).withColumn("next_no", F.col("below.line_no"))
+    rows = rows.withColumn("link", F.coalesce(full & open_ & ~F.col("next").rlike(BLOCK), F.lit(False))).withColumn("n", F.sum(full.cast("int")).over(so_far()))
+    odd = (F.col("n") - F.coalesce(F.last(F.when(full & ~F.col("link"), F.col("n")), True).over(before()), F.lit(0))) % 2 == 1
+    rows = rows.withColumn("made", F.col("link") & odd)
+    rows = rows.withColumn("gone", full & F.coalesce(F.last(F.when(full, F.col("made")), True).over(before()), F.lit(False))).withColumn("upto", F.max(F.when(F.col("made"), F.col("next_no"))).over(before()))
+    kept = rows.where(~F.col("gone") & ~(~full & (F.col("line_no") < F.coalesce("upto", F.lit(0)))))
+    return kept.select("book", "line_no", F.when(F.col("made"), F.concat("line", T.sub(F.col("next"), f"^{T.SPACE}+", ""))).otherwise(c).alias("line"))
 
 
-def toc(lines: DataFrame) -> DataFrame:
-    """(book, line_no, entry): links to the headings of level 3 or less from the first chapter on."""
+def with_entries(lines: DataFrame) -> DataFrame:
+    """lines with first, the line of the first chapter, and entry of each heading of level 3 or less from there on."""
     c = F.col("line")
-    rows = lines.withColumn("first", F.min(F.when(c.rlike(f"^#\\s*第{N}+章"), F.col("line_no"))).over(W.partitionBy("book"))).where("line_no >= first")
+    rows = lines.withColumn("first", F.min(F.when(c.rlike(f"^#\\s*第{N}+章"), F.col("line_no"))).over(W.partitionBy("book")))
     rows = rows.withColumn("level", F.length(F.regexp_extract(c, "^(#{1,6})\\s+.+$", 1))).withColumn("title", T.strip(F.regexp_extract(c, "^#{1,6}\\s+(.+?)\\s*$", 1)))
-    rows = rows.where(F.col("level").between(1, 3) & ~F.col("title").rlike("^(思考题|【知识要点】|本章数字资源)"))
-    return rows.select("book", "line_no", F.concat(F.expr("repeat('  ', level - 1)"), F.lit("- ["), "title", F.lit("](#"), T.slug(F.col("title")), F.lit(")")).alias("entry"))
+    shown = (F.col("line_no") >= F.col("first")) & F.col("level").between(1, 3) & ~F.col("title").rlike("^(思考题|【知识要点】|本章数字资源)")
+    return rows.withColumn("entry", F.when(shown, F.concat(F.expr("repeat('  ', level - 1)"), F.lit("- ["), "title", F.lit("](#"), T.slug(F.col("title")), F.lit(")"))))
+
+
+def toc(lines: DataFrame) -> DataFrame:
+    """(book, line_no, entry): links to the headings of level 3 or less from the first chapter on."""
+    return with_entries(lines).where("entry is not null").select("book", "line_no", "entry")
 
 
 def rebuild_toc(lines: DataFrame) -> DataFrame:
-    """Lines with 目录 up to the first chapter replaced by the linked table of contents; books without both stay."""
-    c, whole = F.col("line"), W.partitionBy("book")
-    rows = lines.withColumn("at", F.min(F.when(T.strip(c).rlike("^#{1,6}\\s*目录$"), F.col("line_no"))).over(whole)).withColumn("first", F.min(F.when(c.rlike(f"^#\\s*第{N}+章"), F.col("line_no"))).over(whole))
+    """Lines with 目录 up to the first chapter replaced by the linked table of contents; books without both stay. Each line
+    gives what becomes of it and its entry, so lines are read once."""
+    rows = with_entries(lines).withColumn("at", F.min(F.when(T.strip(F.col("line")).rlike("^#{1,6}\\s*目录$"), F.col("line_no"))).over(W.partitionBy("book")))
     ok = F.coalesce(F.col("at") < F.col("first"), F.lit(False))
-    kept = rows.where(~ok | (F.col("line_no") < F.col("at")) | (F.col("line_no") >= F.col("first"))).select("book", F.col("line_no").alias("a"), F.lit(0).alias("b"), "line")
-    places = rows.where(ok).select("book", "at").distinct()
-    entries = places.join(toc(lines), "book").select("book", F.col("at").alias("a"), F.col("line_no").alias("b"), F.col("entry").alias("line"))
-    ends = places.select("book", F.col("at").alias("a"), F.explode(F.array(F.struct(F.lit(-2).alias("b"), F.lit("# 目录").alias("line")), F.struct(F.lit(-1).alias("b"), F.lit("").alias("line")), F.struct(F.lit(1 << 30).alias("b"), F.lit("").alias("line")))).alias("e")).select("book", "a", "e.*")
-    return renumber(kept.unionByName(entries).unionByName(ends), "a", "b")
+    part = lambda a, b, line: F.struct(a.alias("a"), F.lit(b).cast("int").alias("b") if isinstance(b, int) else b.cast("int").alias("b"), line.alias("line"))
+    at, no = F.col("at"), F.col("line_no")
+    kept = F.when(~ok | (no < at) | (no >= F.col("first")), F.array(part(no, 0, F.col("line")))).when(no == at, F.array(part(at, -2, F.lit("# 目录")), part(at, -1, F.lit("")), part(at, 1 << 30, F.lit("")))).otherwise(F.array().cast("array<struct<a:int,b:int,line:string>>"))
+    parts = F.when(ok & F.col("entry").isNotNull(), F.concat(kept, F.array(part(at, no, F.col("entry"))))).otherwise(kept)
+    return renumber(rows.select("book", F.explode(parts).alias("e")).select("book", "e.*"), "a", "b")
 
 
 def outline_toc(outline: DataFrame, lines: DataFrame) -> DataFrame:

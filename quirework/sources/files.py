@@ -51,6 +51,12 @@ def lines(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("book",)
     return docs.select(*keys, F.posexplode(F.split(text, "\n")).alias("pos", "line")).select(*keys, (F.col("pos") + 1).alias("line_no"), "line")
 
 
+def dealt(rows: DataFrame, count: int, key: str = "book", most: int = 150_000, least: int = 10_000) -> DataFrame:
+    """Rows dealt out by key, about `most` to a part at most however many there are; few rows are not cut below `least`."""
+    given = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(-(-count // most), min(given, -(-count // least)), 1), key)
+
+
 def paragraphs(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("book",)) -> DataFrame:
     return docs.select(*keys, F.posexplode(F.split(text, "\n\n")).alias("pos", "para")).select(*keys, (F.col("pos") + 1).alias("para_no"), "para")
 
